@@ -42,10 +42,24 @@ def row_documents(
     )
 
 
+def _pairs(fields: str) -> Column:
+    """(field, pos, value) structs of a map of multi-valued fields."""
+    return F.flatten(F.transform(
+        F.map_entries(fields),
+        lambda e: F.transform(
+            e["value"],
+            lambda v, i: F.struct(e["key"].alias("field"), i.alias("pos"), v.alias("value")),
+        ),
+    ))
+
+
 def to_long(df: DataFrame, identifier: str = "id", fields: str = "fields") -> DataFrame:
-    """Rows (id, field, pos, value) from the map of multi-valued fields."""
-    named = df.select(identifier, F.explode(fields).alias("field", "_values"))
-    return named.select(identifier, "field", F.posexplode("_values").alias("pos", "value"))
+    """Rows (id, field, pos, value) from the map of multi-valued fields.
+
+    The outer form matters: for an inner explode of a column Spark adds a filter
+    on its size, pushes it below the projection and so computes the map twice.
+    """
+    return df.select(identifier, F.inline_outer(_pairs(fields))).where(F.col("field").isNotNull())
 
 
 def dump(df: DataFrame, core: Sequence[str], identifier: str = "id", fields: str = "fields") -> DataFrame:
@@ -54,13 +68,7 @@ def dump(df: DataFrame, core: Sequence[str], identifier: str = "id", fields: str
         F.struct(F.lit(c).alias("field"), F.lit(0).alias("pos"), F.col(c).cast("string").alias("value"))
         for c in core
     ])
-    opened = F.flatten(F.transform(
-        F.map_entries(fields),
-        lambda e: F.transform(
-            e["value"],
-            lambda v, i: F.struct(e["key"].alias("field"), i.alias("pos"), v.alias("value")),
-        ),
-    ))
+    opened = _pairs(fields)
     pairs = F.concat(attributes, F.coalesce(opened, F.slice(attributes, F.lit(1), F.lit(0))))
     return df.select(identifier, F.inline(pairs)).where(F.col("value").isNotNull())
 
@@ -164,7 +172,8 @@ def attachment_rows(docs: DataFrame, source_prefix: str = "API_") -> DataFrame:
         entry("metas_attachmentname", a["name"]), entry("metas_iconurl", a["iconLink"]),
     )
     return (
-        docs.withColumn("_a", F.explode("attachments"))
+        docs.withColumn("_a", F.explode_outer("attachments"))
+        .where(F.col("_a").isNotNull())
         .select(
             a["fileId"].alias("id"),
             F.col("doc_id").alias("parent_id"),

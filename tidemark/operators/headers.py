@@ -45,8 +45,10 @@ def header_records(
 
 def header_entries(records: DataFrame) -> DataFrame:
     """(filename, meta number, entry) rows of header records."""
+    # Outer, so that Spark does not add a filter that builds the entries a second time;
+    # there is always at least the content flag.
     return records.select(
-        "index", "filename", F.posexplode("entries").alias("_pos", "entry")
+        "index", "filename", F.posexplode_outer("entries").alias("_pos", "entry")
     ).select(
         "index", "filename", F.concat(F.lit("meta"), (F.col("_pos") + 1).cast("string")).alias("meta"),
         (F.col("_pos") + 1).cast("bigint").alias("n"), "entry",
