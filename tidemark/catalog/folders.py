@@ -29,16 +29,20 @@ def _listing(spark: SparkSession, sf_dir: str, until: str | None = None) -> Data
     lines = table(spark, sf_dir, "lineitem")
     if until:
         lines = lines.where(F.col("l_shipdate") <= F.lit(until).cast("timestamp_ntz"))
-    path = F.format_string("/part/%d/%s/line%d.dat", "l_partkey", "l_linestatus", "l_linenumber")
-    newest = lines.groupBy(path.alias("path")).agg(
-        F.max(F.struct(
-            epoch_ms("l_shipdate").alias("ms"), F.col("l_quantity").cast("bigint").alias("size"),
-            F.col("l_returnflag").alias("flag"),
-        )).alias("v")
+    # Newest by time, then size (below 100), then flag. With numbers only, the
+    # aggregate stays in a hash table; with structs or texts it would sort.
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    size, ms = F.col("l_quantity").cast("bigint"), epoch_ms("l_shipdate")
+    version = ms * 1000 + size * 10 + flag
+    newest = lines.groupBy("l_partkey", "l_linestatus", "l_linenumber").agg(
+        F.max(ms).alias("last_modified_ms"), F.max_by(size, version).alias("size"),
+        F.max_by(flag, version).alias("flag"),
     )
-    files = newest.where("v.flag = 'N'").select(
-        "path", F.col("v.ms").alias("last_modified_ms"), F.col("v.size").alias("size")
+    path = F.concat(
+        F.lit("/part/"), F.col("l_partkey").cast("string"), F.lit("/"), "l_linestatus",
+        F.lit("/line"), F.col("l_linenumber").cast("string"), F.lit(".dat"),
     )
+    files = newest.where("flag = 1").select(path.alias("path"), "last_modified_ms", "size")
     return inv.as_inventory(files)
 
 

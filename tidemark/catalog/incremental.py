@@ -127,7 +127,7 @@ def hwm_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over orders; the second starts at the mark the first one saved."""
     base = shared_dir(spark, "marks")
     marks = MarkStore(spark, f"{base}/state")
-    marks.save(spark.createDataFrame([("orders", 0)], "source string, hwm bigint"), 0)
+    marks.save_one("orders", 0, 0)
     source = TableSource("orders", "o_orderkey", ["o_orderkey"], ["o_orderkey", "o_orderstatus"], batch=_SIZE)
     orders = table(spark, sf_dir, "orders")
     run_once(orders, source, marks, f"{base}/out")

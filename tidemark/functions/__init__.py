@@ -3,7 +3,7 @@
 from .common import let, no_strings, strings, whole_number
 from .nested import (
     category_nodes, category_values, child_documents, comment_json, comment_text, entry,
-    folder_chain, folder_path, is_image, merge_entries, named_categories, named_fields,
+    extend_fields,    folder_chain, folder_path, is_image, merge_entries, named_categories, named_fields,
     permission_tokens, reader_grants,
 )
 from .paths import (

@@ -211,31 +211,58 @@ def child_documents(
     )
 
 
-def merge_entries(*entries: Column) -> Column:
-    """Arrays of (name, values) to one map; equal names keep all their values in order."""
+def _filled(entries: Column) -> Column:
+    """Entries that have a name and at least one non-null value."""
+    cleaned = F.transform(
+        F.filter(entries, lambda e: e["name"].isNotNull()),
+        lambda e: F.struct(
+            e["name"].alias("name"),
+            F.filter(F.coalesce(e["values"], no_strings()), lambda v: v.isNotNull()).alias("values"),
+        ),
+    )
+    return F.filter(cleaned, lambda e: F.size(e["values"]) > 0)
+
 
-    def collect(items: Column) -> Column:
-        names = F.array_distinct(F.transform(items, lambda e: e["name"]))
+def _grouped(items: Column) -> Column:
+    """Entries to a map. Only when names repeat are the values gathered name by name."""
+    def by_name(names: Column) -> Column:
         values = F.transform(
             names,
             lambda n: F.flatten(
                 F.transform(F.filter(items, lambda e: e["name"] == n), lambda e: e["values"])
             ),
         )
-        return F.map_from_arrays(names, values)
+        once = F.transform(items, lambda e: e["values"])
+        return F.map_from_arrays(
+            names, F.when(F.size(names) == F.size(items), once).otherwise(values)
+        )
+
+    return let(F.array_distinct(F.transform(items, lambda e: e["name"])), by_name)
 
+
+def merge_entries(*entries: Column) -> Column:
+    """Arrays of (name, values) to one map; equal names keep all their values in order."""
     empty = F.array().cast("array<struct<name:string,values:array<string>>>")
-    present = F.filter(
-        F.concat(*[F.coalesce(e, empty) for e in entries]), lambda e: e["name"].isNotNull()
-    )
-    cleaned = F.transform(
-        present,
-        lambda e: F.struct(
-            e["name"].alias("name"),
-            F.filter(F.coalesce(e["values"], no_strings()), lambda v: v.isNotNull()).alias("values"),
-        ),
-    )
-    return let(F.filter(cleaned, lambda e: F.size(e["values"]) > 0), collect)
+    return let(_filled(F.concat(*[F.coalesce(e, empty) for e in entries])), _grouped)
+
+
+def extend_fields(fields: Column, entries: Column) -> Column:
+    """Add entries to a map of fields; a name already there gets the further values."""
+    def added(items: Column) -> Column:
+        existing = F.transform(
+            F.map_entries(fields),
+            lambda e: F.struct(e["key"].alias("name"), e["value"].alias("values")),
+        )
+        names = F.transform(items, lambda e: e["name"])
+        apart = ~F.arrays_overlap(F.map_keys(fields), names) & (
+            F.size(F.array_distinct(names)) == F.size(names)
+        )
+        fresh = F.map_from_arrays(names, F.transform(items, lambda e: e["values"]))
+        return F.when(apart, F.map_concat(fields, fresh)).otherwise(
+            let(F.concat(existing, items), _grouped)
+        )
+
+    return let(_filled(entries), added)
 
 
 def entry(name: str, value: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    class_token, child_documents, comment_json, comment_text, doc_id, entry, folder_chain,
+    class_token, child_documents, comment_json, comment_text, doc_id, entry, extend_fields, folder_chain,
     folder_path, hier_facets, merge_entries, named_categories, named_fields, no_strings,
     parent_folder, parse_epoch_ms, parse_size, permission_tokens, view_url, whole_number,
 )
@@ -90,19 +90,12 @@ def add_hier_fields(
         if name.lower() == "filepath" and file_path is not None:
             stored = F.coalesce(parent_folder(file_path), stored)
         added.append(F.struct(F.lit(f"_hier_{name}").alias("name"), hier_facets(stored).alias("values")))
-    return df.withColumn(fields, _extend(F.col(fields), F.array(*added)))
-
-
-def _extend(fields: Column, entries: Column) -> Column:
-    existing = F.transform(
-        F.map_entries(fields), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("values"))
-    )
-    return merge_entries(existing, entries)
+    return df.withColumn(fields, extend_fields(F.col(fields), F.array(*added)))
 
 
 def add_constants(df: DataFrame, constants: Mapping[str, str], fields: str = "fields") -> DataFrame:
     entries = F.array(*[entry(name, F.lit(value)) for name, value in constants.items()])
-    return df.withColumn(fields, _extend(F.col(fields), entries))
+    return df.withColumn(fields, extend_fields(F.col(fields), entries))
 
 
 def drop_field(df: DataFrame, name: str, fields: str = "fields") -> DataFrame:
@@ -184,7 +177,7 @@ def attachment_rows(docs: DataFrame, source_prefix: str = "API_") -> DataFrame:
             F.concat(F.lit(source_prefix), F.col("library_name")).alias("source"),
             F.lit(UPSERT).alias("action"),
             F.col("modification_ms").alias("last_modified_ms"),
-            _extend(F.col("fields"), extra).alias("fields"),
+            extend_fields(F.col("fields"), extra).alias("fields"),
         )
     )
 
@@ -301,9 +294,5 @@ def prepared_actions(docs: DataFrame, status: str | Column, name: str = "action"
     return docs.withColumn(name, F.lit(status) if isinstance(status, str) else status)
 
 
-def empty_values() -> Column:
-    return no_strings()
-
-
 def first_value(fields: str, name: str) -> Column:
     return let(F.try_element_at(F.col(fields), F.lit(name)), lambda v: F.try_element_at(v, F.lit(1)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .numbering import row_number
+from .numbering import rows_before
 
 DEFAULT_BATCH = 1000
 PAGE_SIZE = 25
@@ -71,32 +71,13 @@ def plan_batches(
     n = batch_size(size)
     values = past_mark(df, mark_column, mark).where(F.col(mark_column).isNotNull())
     counted = values.groupBy(F.col(mark_column).alias("mark")).agg(F.count(F.lit(1)).alias("rows"))
-    numbered = row_number(counted, [], ["mark"], "n", **limits)
-    if counted.where("rows > 1").isEmpty():
-        placed = numbered.withColumn("batch", F.floor((F.col("n") - 1) / n))
-    else:
-        placed = _place_ties(numbered, n)
-    return placed.groupBy(F.col("batch").cast("bigint").alias("batch")).agg(
+    placed = rows_before(counted, [], ["mark"], "rows", "_before", **limits)
+    batch = F.floor(F.col("_before") / n).cast("bigint")
+    return placed.groupBy(batch.alias("batch")).agg(
         F.sum("rows").alias("rows"), F.min("mark").alias("first_mark"), F.max("mark").alias("last_mark")
     )
 
 
-def _place_ties(numbered: DataFrame, n: int) -> DataFrame:
-    """Preceding rows of each mark: running sums inside blocks of marks, then over the blocks."""
-    from pyspark.sql import Window as W
-
-    block = F.floor((F.col("n") - 1) / 65_536)
-    blocked = numbered.withColumn("_block", block)
-    inside = W.partitionBy("_block").orderBy("n").rowsBetween(W.unboundedPreceding, -1)
-    # One row per 65,536 distinct marks: the only unpartitioned window, and a short one.
-    across = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    totals = blocked.groupBy("_block").agg(F.sum("rows").alias("_rows")).select(
-        "_block", F.coalesce(F.sum("_rows").over(across), F.lit(0)).alias("_earlier")
-    )
-    before = F.coalesce(F.sum("rows").over(inside), F.lit(0)) + F.col("_earlier")
-    return blocked.join(totals, "_block").withColumn("batch", F.floor(before / n))
-
-
 def with_marks(
     df: DataFrame, marks: DataFrame, source: str, name: str = "hwm"
 ) -> DataFrame:

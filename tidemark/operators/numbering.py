@@ -21,25 +21,23 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
-    max_group_rows: int = MAX_GROUP_ROWS,
+def rows_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
+    name: str = "before", max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """1-based number of each row among the rows with the same keys.
+    """Rows (or summed weights) that precede each row among the rows with the same keys.
 
-    While every group is checked to be small a window numbers it directly.
+    While every group is checked to be small a window computes it directly.
     Beyond that the rows are range-partitioned by keys and order, so a hot group
-    is spread over many tasks; each slice numbers its own rows and adds the
-    rows of the slices before it.
+    is spread over many tasks; each slice adds up its own rows and then adds the
+    totals of the slices before it.
     """
+    amount = F.col(weight) if weight else F.lit(1)
+    earlier = (W.unboundedPreceding, -1)
     if largest_group(df, keys) <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    return _sliced_row_number(df, keys, order, name)
+        window = W.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
+        return df.withColumn(name, F.coalesce(F.sum(amount).over(window), F.lit(0)).cast("bigint"))
 
-
-def _sliced_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
-) -> DataFrame:
     checkpoint_root(df.sparkSession)
     # The tie column lets full copies of one row be spread as well. The slices
     # are fixed by the checkpoint: a lost task must not re-draw their bounds.
@@ -49,20 +47,27 @@ def _sliced_row_number(
         .withColumn(_SLICE, F.spark_partition_id())
         .checkpoint()
     )
-    before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys, _SLICE).count()
-        .select(*keys, _SLICE, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    by_slice = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(*earlier)
+    totals = sliced.groupBy(*keys, _SLICE).agg(F.sum(amount).alias("_total")).select(
+        *keys, _SLICE, F.coalesce(F.sum("_total").over(by_slice), F.lit(0)).alias("_earlier")
     )
-    same = [sliced[k].eqNullSafe(offsets[k]) for k in [*keys, _SLICE]]
-    within = W.partitionBy(*[sliced[k] for k in [*keys, _SLICE]]).orderBy(*order, _TIE)
-    joined = sliced.join(offsets, same, "inner")
-    return joined.select(
-        *[sliced[c] for c in df.columns],
-        (F.row_number().over(within) + F.col("_before")).cast("bigint").alias(name),
+    same = [sliced[k].eqNullSafe(totals[k]) for k in [*keys, _SLICE]]
+    within = W.partitionBy(*[sliced[k] for k in [*keys, _SLICE]]).orderBy(*order, _TIE).rowsBetween(*earlier)
+    inside = F.coalesce(F.sum(amount).over(within), F.lit(0))
+    return sliced.join(totals, same, "inner").select(
+        *[sliced[c] for c in df.columns], (inside + F.col("_earlier")).cast("bigint").alias(name)
     )
 
 
+def row_number(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """1-based number of each row among the rows with the same keys."""
+    counted = rows_before(df, keys, order, None, name, max_group_rows)
+    return counted.withColumn(name, F.col(name) + 1)
+
+
 def joined_in_parts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str,
     name: str, part_rows: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,

@@ -50,8 +50,7 @@ def run_once(table: DataFrame, source: TableSource, marks: MarkStore, out: str)
         # The batch is a range of marks, so its output folder is named by the range
         # and a repeated run replaces it.
         write_documents(batch_documents(batch, source), f"{out}/{source.service}/{mark}-{result.hwm}", "overwrite")
-        saved = table.sparkSession.createDataFrame([(source.service, result.hwm)], "source string, hwm bigint")
-        marks.save(saved)
+        marks.save_one(source.service, result.hwm)
     return result.rows, result.hwm
 
 

@@ -38,7 +38,11 @@ class MarkStore:
         """Append (source, hwm) rows; call this last, after the data of the run is written."""
         run = time.time_ns() if run_id is None else run_id
         marks.select("source", F.col("hwm").cast("bigint").alias("hwm"), F.lit(run).cast("bigint").alias("run_id")) \
-            .write.mode("append").parquet(self.path)
+            .coalesce(1).write.mode("append").parquet(self.path)
+
+    def save_one(self, source: str, hwm: int, run_id: int | None = None) -> None:
+        row = self.spark.range(1).select(F.lit(source).alias("source"), F.lit(hwm).alias("hwm"))
+        self.save(row, run_id)
 
     def read(self) -> DataFrame:
         rows = _read_or_empty(self.spark, self.path, MARK)
@@ -107,5 +111,8 @@ class VersionedTable:
         version, _, _ = self._current()
         path = f"{self.root}/base/{version + 1:08d}-{uuid.uuid4().hex}"
         rows.select(*self.base_schema.names).write.parquet(path)
-        entry = self.spark.createDataFrame([(version + 1, path, batch_id)], _LEDGER)
+        entry = self.spark.range(1).select(
+            F.lit(version + 1).cast("bigint").alias("version"), F.lit(path).alias("path"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        )
         entry.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
