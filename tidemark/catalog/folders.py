@@ -161,6 +161,13 @@ def gone_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"SELECT '/part/' || p_partkey AS folder FROM part EXCEPT {_folders_sql(_CUR)}")
+def missing_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queued part folders that the current listing no longer has."""
+    roots = table(spark, sf_dir, "part").select(F.format_string("/part/%d", "p_partkey").alias("folder"))
+    return inv.missing_roots(roots, inv.folders_of(_listing(spark, sf_dir)))
+
+
 @query(f"""
     SELECT DISTINCT f.path FROM ({_PREV}) f
     JOIN ({_folders_sql(_PREV)} EXCEPT {_folders_sql(_CUR)}) g

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import entry, export_mime as as_export, final_mime, is_native, merge_entries
 from ..operators import documents as docs
 from ..operators import headers, index, mapping
-from ..plans.stages import Stage, run_stages
+from ..plans.stages import Stage, run_stages, terminate
 from ..session import shared_dir
 from ..streaming.index_stream import IndexTable, stream_actions
 from .base import query, table
@@ -95,7 +95,16 @@ def _part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = mapping.map_fields(_part_documents(spark, sf_dir), mapping.FieldMapping.of(_ENTRIES))
+    """Parts sent through a mapping that is written as a mapping file and loaded again."""
+    path = shared_dir(spark, "mapping")
+    entries = ", ".join(
+        "named_struct('idocField', '{}', 'solrField', {}, 'dynamicSolrFieldType', {}, 'multi', {})".format(
+            source, f"'{target}'" if target else "CAST(NULL AS STRING)",
+            f"'{dynamic}'" if dynamic else "CAST(NULL AS STRING)", "true" if many else "false")
+        for source, target, dynamic, many in _ENTRIES
+    )
+    spark.sql(f"SELECT array({entries}) AS iDoc2Solr").write.json(path)
+    sent = mapping.map_fields(_part_documents(spark, sf_dir), mapping.FieldMapping.load(spark, path))
     return docs.to_long(sent, "id", "index_fields").withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -226,6 +235,16 @@ def export_mime(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT p_partkey::VARCHAR AS id, p_type = 'PROMO' AS success,
+           CASE WHEN p_type <> 'PROMO' THEN 'no index specified' ELSE 'success' END AS status FROM part
+""")
+def terminator_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header records written out, one status per document; a missing index is an error."""
+    out = shared_dir(spark, "headers")
+    return terminate(_header_documents(spark, sf_dir), headers.write_headers, {"path": out})
+
+
 _CONTENT = ["event_id", "detail"]
 _ORDER = ["modified", "event_id"]
 

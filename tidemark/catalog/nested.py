@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
-    category_nodes, category_values as flatten_categories, comment_json as as_json, folder_chain as chain,
-    folder_path, normalise_root, permission_tokens as tokens,
+    category_nodes, category_values as flatten_categories, folder_chain as chain, folder_path,
+    normalise_root, permission_tokens as tokens,
 )
 from ..operators import documents as docs
 from ..operators import incremental as inc
-from ..plans.api_ingest import next_marks, plan_api
+from ..plans.api_ingest import next_marks, of_classes, plan_api
 from ..session import shared_dir
 from ..sinks.output import catalogue, write_catalogue
 from ..model import LIBRARY
@@ -157,11 +157,7 @@ def comment_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({_COMMENT_SQL})
 """)
 def comment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _comments(spark, sf_dir).select("documentId", F.explode("comments").alias("comment"))
-    return flat.select(
-        F.col("documentId").alias("doc_id"), F.col("comment.createdTime").alias("created"),
-        as_json("comment").alias("json"),
-    )
+    return docs.comments_json(docs.comment_rows(_comments(spark, sf_dir)))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,3 +413,18 @@ def library_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = docs.api_documents(_landed(spark, sf_dir))
     classed = typed.withColumn("class_id", F.filter("default_fields", lambda e: e["name"] == "classid")[0]["values"][0])
     return inc.count_per(inc.recent(classed, marks, "library_id", "modification_ms"), "library_id", "class_id")
+
+
+@query(f"""
+    SELECT c_custkey::VARCHAR AS doc_id, n_nationkey::VARCHAR AS library_id, c_mktsegment AS class_id
+    FROM ({_GEO_SQL}) WHERE r_name <> 'ASIA'
+""")
+def class_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the classes that the catalogue lists for their library."""
+    typed = docs.api_documents(_landed(spark, sf_dir))
+    classed = typed.select(
+        "doc_id", "library_id",
+        F.filter("default_fields", lambda e: e["name"] == "classid")[0]["values"][0].alias("class_id"),
+    )
+    listed = _class_rows(spark, sf_dir).where("domainName <> 'ASIA'")
+    return of_classes(classed, listed).select("doc_id", "library_id", "class_id")

@@ -96,7 +96,9 @@ def document_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as a folder tree, listed as files and reduced to their folders."""
     out = shared_dir(spark, "tree")
-    table(spark, sf_dir, "documents").select("doc_id", "lang", "source").write.partitionBy("lang", "source").parquet(out)
+    # Ranges that end in the id cluster each folder's rows, yet spread a folder that is hot.
+    table(spark, sf_dir, "documents").select("doc_id", "lang", "source") \
+        .repartitionByRange("lang", "source", "doc_id").write.partitionBy("lang", "source").parquet(out)
     listed = list_files(spark, out, "*.parquet").where("size > 0")
     tail = F.concat_ws("/", F.slice(F.split("parent", "/"), -2, 2))
     return listed.select(tail.alias("folder")).distinct()

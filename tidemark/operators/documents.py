@@ -202,22 +202,28 @@ def attachment_count(attachments: str = "attachments", mime: str = "mime") -> Co
 
 
 def comment_rows(pages: DataFrame) -> DataFrame:
-    """Each landed comment once, with its rendered text and JSON."""
-    flat = pages.select("documentId", F.explode("comments").alias("comment"))
-    c = F.col("comment")
-    return flat.select(
-        F.col("documentId").alias("doc_id"),
-        c["createdTime"].alias("created"), c["modifiedTime"].alias("modified"),
-        c["message"].alias("message"),
-        comment_text("comment").alias("text"), comment_json("comment").alias("json"),
-    )
+    """Each landed comment once, as (doc_id, comment)."""
+    flat = pages.select(F.col("documentId").alias("doc_id"), F.explode_outer("comments").alias("comment"))
+    return flat.where(F.col("comment").isNotNull())
 
 
 def comments_joined(comments: DataFrame, part_rows: int = 10_000, **limits: int) -> DataFrame:
     """Comments of each document joined by ``|``, ordered by created, modified, message."""
+    c = F.col("comment")
+    ordered = comments.select("doc_id", F.struct(
+        c["createdTime"].alias("createdTime"), c["modifiedTime"].alias("modifiedTime"),
+        c["message"].alias("message"), c["author"].alias("author"),
+    ).alias("comment"))
+    # Ordering by the struct itself: its fields stand in the wanted order.
     return joined_in_parts(
-        comments, ["doc_id"], ["created", "modified", "message", "text"], "text", "|",
-        "comments", part_rows, **limits,
+        ordered, ["doc_id"], ["comment"], "comment", "|", "comments", part_rows,
+        render=comment_text, **limits,
+    )
+
+
+def comments_json(comments: DataFrame) -> DataFrame:
+    return comments.select(
+        "doc_id", F.col("comment.createdTime").alias("created"), comment_json("comment").alias("json")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,3 +63,14 @@ def header_deletes(docs: DataFrame, configured_index: str | None = None) -> Data
         index.alias("index"), F.col("id").alias("filename"), F.lit("delete").alias("request"),
         F.when(index.isNull(), F.lit("no index specified")).alias("error"),
     )
+
+
+def write_headers(docs: DataFrame, settings: Mapping[str, str]) -> DataFrame:
+    """Write the records that have an index, grouped by index; report the status of every document."""
+    index = settings.get("index")
+    records = header_records(docs, index)
+    records.where(F.col("error").isNull()).drop("error").write.mode("overwrite") \
+        .partitionBy("index").parquet(settings["path"])
+    known = target_index("fields", index).isNotNull()
+    status = F.when(known, F.lit("success")).otherwise(F.lit("no index specified"))
+    return docs.select("id", status.alias("status"), known.alias("success"))

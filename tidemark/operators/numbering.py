@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -71,21 +71,24 @@ def row_number(
 def joined_in_parts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str,
     name: str, part_rows: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
+    render: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Ordered values of each group joined to text, at most ``part_rows`` values per row.
 
     A group that fits has the single part 0. A larger one continues in parts
     1, 2, …; nothing is dropped and no task gathers more than one part.
+    ``render`` turns a gathered value into text, so that only the value itself
+    travels through the shuffle.
     """
-    numbered = row_number(df.select(*keys, *[o for o in order if o not in keys and o != value], value),
-                          keys, order, "_n", max_group_rows)
+    numbered = row_number(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, "_n", max_group_rows)
     part = F.floor((F.col("_n") - 1) / part_rows).cast("bigint")
     gathered = F.sort_array(F.collect_list(F.struct("_n", F.col(value).alias("v"))))
+    text = render or (lambda v: v)
     return (
         numbered.withColumn("part", part).groupBy(*keys, "part")
         .agg(gathered.alias("_all"))
         .select(
             *keys, "part", F.size("_all").cast("bigint").alias("n_values"),
-            F.array_join(F.transform("_all", lambda x: x["v"]), separator).alias(name),
+            F.array_join(F.transform("_all", lambda x: text(x["v"])), separator).alias(name),
         )
     )

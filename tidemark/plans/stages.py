@@ -53,3 +53,8 @@ def run_stages(docs: DataFrame, stages: Sequence[Stage], action: str = "action")
             docs.where(is_delete), allowMissingColumns=True
         )
     return docs
+
+
+def terminate(docs: DataFrame, terminator: Terminator, settings: Mapping[str, str]) -> DataFrame:
+    """Send the documents to their final sink; the result has (id, status, success) per document."""
+    return terminator(docs, settings).select("id", "status", "success")
