@@ -80,6 +80,9 @@ def test_attachment_rows_and_comments(spark, landed):
         ("9", [], None),
     ], model.COMMENT_PAGE)
     joined = docs.comments_joined(docs.comment_rows(pages))
+    small = docs.comments_joined(docs.comment_rows(pages), part_rows=2, max_group_rows=1).orderBy("part").collect()
+    assert [(r.part, r.n_values) for r in small] == [(0, 2), (1, 1)]
+    assert "|".join(r.comments for r in small) == joined.first().comments
     marks = spark.createDataFrame([("L1", 2000)], "source string, hwm bigint")
     rows = {r.id: r for r in plan_api(landed, marks, joined, "store@x", "API_").collect()}
     assert sorted(rows) == ["1-1", "1-2", "4-1", "4-2"]
@@ -87,6 +90,9 @@ def test_attachment_rows_and_comments(spark, landed):
     assert (one.parent_id, one.mime, one.size, one.source, one.action) == ("1", "image/png", 0, "API_Library", "UPSERT")
     assert one.fields["metas_comments"] == [
         "null _ null _ t1 _ t1 _ first|n _ e _ t2 _ t2 _ second|null _ null _ t3 _ t3 _ third"]
+    in_parts = docs.comments_joined(docs.comment_rows(pages), part_rows=2)
+    split = plan_api(landed, marks, in_parts, "store@x").where("id = '1-2'").orderBy("part").collect()
+    assert "|".join(r.fields["metas_comments"][0] for r in split) == one.fields["metas_comments"][0]
     assert one.fields["metas_attachmentname"] == ["b"] and "metas_comments" not in rows["4-1"].fields
 
 

@@ -93,6 +93,8 @@ def test_applying_the_diff_gives_the_current_listing(spark, seed):
     plan = plan_crawl(cur, prev, rules)
     want = cur.where(rules.keeps_entry())
     assert paths(plan.inventory) == paths(want)
+    applied = inv.apply_changes(prev, plan.changes)
+    assert sorted(map(tuple, applied.collect())) == sorted(map(tuple, inv.surviving(plan.changes).collect()))
     again = plan_crawl(cur, plan.inventory, rules)
     assert set(r.status for r in again.changes.collect()) <= {"unchanged", "reject"}
     actions = {r.action for r in plan.documents.collect()}

@@ -108,16 +108,17 @@ def inventory_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same inventory kept by a stream of listings; vanished folders arrive as empty ones."""
     base = shared_dir(spark, "inventory")
-    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    state = InventoryTable(spark, f"{base}/state")
+    state.start_from(_listing(spark, sf_dir, _DAY))
+    _listing(spark, sf_dir).write.parquet(f"{base}/listing")
+    before, now = state.read(), spark.read.parquet(f"{base}/listing")
     empty = inv.gone_folders(inv.parent_folders(before), inv.parent_folders(now)).select(
         F.col("folder").alias("path"), parent_folder("folder").alias("parent"),
         F.lit("").alias("name"), F.lit(True).alias("is_dir"),
         F.lit(0).cast("bigint").alias("last_modified_ms"), F.lit(0).cast("bigint").alias("size"),
     )
-    now.unionByName(empty).write.parquet(f"{base}/listing")
-    state = InventoryTable(spark, f"{base}/state")
-    state.start_from(before)
-    listing = spark.readStream.schema(now.schema).parquet(f"{base}/listing")
+    empty.write.parquet(f"{base}/empty")
+    listing = spark.readStream.schema(now.schema).parquet(f"{base}/{{listing,empty}}")
     stream_listings(listing, state, f"{base}/checkpoint", _RULES).awaitTermination()
     return state.read().select("path", "last_modified_ms", "size")
 

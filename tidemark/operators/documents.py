@@ -158,7 +158,9 @@ def flat_metas(
     return docs.withColumn("fields", merge_entries(*parts))
 
 
-def attachment_rows(docs: DataFrame, source_prefix: str = "API_") -> DataFrame:
+def attachment_rows(
+    docs: DataFrame, source_prefix: str = "API_", keep: Sequence[str] = ()
+) -> DataFrame:
     """One document per attachment, parent fields repeated; none for a bare document."""
     a = F.col("_a")
     extra = F.array(
@@ -178,6 +180,7 @@ def attachment_rows(docs: DataFrame, source_prefix: str = "API_") -> DataFrame:
             F.lit(UPSERT).alias("action"),
             F.col("modification_ms").alias("last_modified_ms"),
             extend_fields(F.col("fields"), extra).alias("fields"),
+            *keep,
         )
     )
 

@@ -71,15 +71,31 @@ def actions(changes: DataFrame) -> DataFrame:
 
 
 def apply_changes(previous: DataFrame, changes: DataFrame) -> DataFrame:
-    """The stored files after a change set: deletes removed, inserts and updates replaced."""
-    touched = changes.where(F.col("status").isin(INSERT, UPDATE, DELETE)).select("path")
-    kept = previous.where(~F.col("is_dir")).select("path", "last_modified_ms", "size").join(
-        touched, "path", "left_anti"
+    """The stored files after a change set, in one full outer join on path.
+
+    Deletes are removed, inserts and updates replace what is stored, files the
+    change set does not mention stay.
+    """
+    touched = changes.where(F.col("status").isin(INSERT, UPDATE, DELETE)).select(
+        "path", F.col("status").alias("_status"), F.col("last_modified_ms").alias("_ms"), F.col("size").alias("_size")
     )
-    written = changes.where(F.col("status").isin(INSERT, UPDATE)).select(
-        "path", "last_modified_ms", "size"
+    stored = previous.where(~F.col("is_dir")).select("path", "last_modified_ms", "size")
+    untouched = F.col("_status").isNull()
+    return (
+        stored.join(touched, "path", "full")
+        .where(untouched | (F.col("_status") != DELETE))
+        .select(
+            "path",
+            F.when(untouched, F.col("last_modified_ms")).otherwise(F.col("_ms")).alias("last_modified_ms"),
+            F.when(untouched, F.col("size")).otherwise(F.col("_size")).alias("size"),
+        )
     )
-    return kept.unionByName(written)
+
+
+def surviving(changes: DataFrame) -> DataFrame:
+    """The stored files after a diff over the whole tree; its rows already name every file."""
+    kept = changes.where(F.col("status").isin(INSERT, UPDATE, UNCHANGED))
+    return kept.select("path", "last_modified_ms", "size")
 
 
 def as_inventory(files: DataFrame) -> DataFrame:

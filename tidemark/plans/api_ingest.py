@@ -28,14 +28,15 @@ def plan_api(
 ) -> DataFrame:
     """One document per attachment with all ``metas_*`` values.
 
-    ``comments`` has at most one joined text per document (part 0 of
-    documents.comments_joined); further parts stay in their own table.
+    With ``comments`` (documents.comments_joined) the rows carry the comment text
+    and its ``part``: 0, or a further number where a document has more comments
+    than one part holds. Such rows repeat the id and continue the text.
     """
     typed = recent_documents(docs, marks, link_template=link_template, **names)
-    text = None
-    if comments is not None:
-        typed, text = attach_comments(typed, comments), "comments"
-    return attachment_rows(flat_metas(typed, storage_account, comments=text), source_prefix)
+    if comments is None:
+        return attachment_rows(flat_metas(typed, storage_account), source_prefix)
+    joined = flat_metas(attach_comments(typed, comments), storage_account, comments="comments")
+    return attachment_rows(joined, source_prefix, keep=("part",))
 
 
 def next_marks(docs: DataFrame, started_ms: int, library: str = "library_id") -> DataFrame:

@@ -43,7 +43,7 @@ def plan_crawl(
     return CrawlPlan(
         changes=changes,
         documents=documents,
-        inventory=inv.as_inventory(inv.apply_changes(stored, changes)),
+        inventory=inv.as_inventory(inv.surviving(changes)),
         new_folders=inv.new_folders(before, now),
         gone_folders=inv.gone_folders(before, now),
     )
