@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental as inc
 from tidemark.operators.numbering import joined_in_parts, row_number
-from tidemark.plans.table_ingest import TableSource, batch_documents, drain, read_batch, run_once
+from tidemark.plans.table_ingest import TableSource, batch_documents, drain, read_batch, run_backlog, run_once
 from tidemark.sinks.state import MarkStore, marks_from_lines
 
 
@@ -165,3 +165,17 @@ def test_class_counts(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "s string, c int")
     assert sorted(tuple(r) for r in inc.count_per(df, "s", "c").collect()) == [("a", 1, 2), ("b", 2, 1)]
     assert inc.count_per(df, "s").agg(F.sum("n_docs")).first()[0] == 3
+
+
+def test_backlog_equals_a_drain(spark, tmp_path):
+    table = spark.createDataFrame([(i // 2, i) for i in range(2, 40)], "m int, id int")
+    source = TableSource("t", "m", ["id"], batch=7)
+    read = {}
+    for name, run in (("drain", drain), ("backlog", run_backlog)):
+        marks = MarkStore(spark, str(tmp_path / name / "marks"))
+        marks.save_one("t", 3, 0)
+        run(table, source, marks, str(tmp_path / name / "out"))
+        rows = spark.read.schema("id string").json(str(tmp_path / name / "out/t/*"))
+        read[name] = (sorted(int(r.id) for r in rows.collect()), marks.get("t"))
+        assert run_backlog(table, source, marks, str(tmp_path / name / "out")) == (0, 19)
+    assert read["drain"] == read["backlog"] == (list(range(8, 40)), 19)

@@ -161,14 +161,14 @@ def test_newest_per_path(spark):
 
 
 def test_listing_real_files(spark, tmp_path):
-    for name, text in (("x/a.txt", "12345"), ("x/y/b.txt", "1"), ("x/c.bin", "12")):
+    for name, text in (("x/a.txt", "12345"), ("x/y/b é.txt", "1"), ("x/c.bin", "12")):
         target = tmp_path / name
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_text(text)
     rows = {r.name: (r.parent, r.size) for r in list_files(spark, str(tmp_path)).collect()}
-    assert rows == {"a.txt": (f"{tmp_path}/x", 5), "b.txt": (f"{tmp_path}/x/y", 1), "c.bin": (f"{tmp_path}/x", 2)}
+    assert rows == {"a.txt": (f"{tmp_path}/x", 5), "b é.txt": (f"{tmp_path}/x/y", 1), "c.bin": (f"{tmp_path}/x", 2)}
     bodies = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in read_bodies(spark, str(tmp_path), 4).collect()}
-    assert bodies == {"b.txt": b"1", "c.bin": b"12"}
+    assert bodies == {"b é.txt": b"1", "c.bin": b"12"}
 
 
 def test_body_caps(spark):

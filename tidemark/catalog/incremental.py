@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
-from ..plans.table_ingest import TableSource, run_once
+from ..plans.table_ingest import TableSource, run_backlog, run_once
 from ..session import shared_dir
 from ..sinks.state import MarkStore
 from .base import epoch_ms, query, table
@@ -138,3 +138,15 @@ def hwm_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.agg(F.count("id").alias("id_count"), F.min("id").alias("first_id")).select(
         F.lit("orders").alias("source"), F.lit(marks.get("orders")).cast("bigint").alias("hwm"), "id_count", "first_id"
     )
+
+
+@query(f"SELECT l_orderkey || ',' || l_linenumber AS id, count(*) AS n_rows FROM lineitem WHERE l_orderkey > {_MARK} GROUP BY 1")
+def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items past the mark as documents, written by one job and read back."""
+    base = shared_dir(spark, "backlog")
+    marks = MarkStore(spark, f"{base}/state")
+    marks.save_one("lines", _MARK, 0)
+    source = TableSource("lines", "l_orderkey", ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber"])
+    run_backlog(table(spark, sf_dir, "lineitem"), source, marks, f"{base}/out")
+    written = spark.read.schema("id string").json(f"{base}/out/lines/*")
+    return written.groupBy("id").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.documents import row_documents
-from ..operators.incremental import DEFAULT_BATCH, next_batch, next_mark
+from ..operators.incremental import DEFAULT_BATCH, next_batch, next_mark, past_mark
 from ..sinks.output import write_documents
 from ..sinks.state import MarkStore
 
@@ -54,6 +54,25 @@ def run_once(table: DataFrame, source: TableSource, marks: MarkStore, out: str)
     return result.rows, result.hwm
 
 
+def run_backlog(table: DataFrame, source: TableSource, marks: MarkStore, out: str) -> tuple[int, int]:
+    """Everything past the mark in one job, for a first load or a large backlog.
+
+    The upper end is fixed first, so rows that arrive meanwhile wait for the next
+    run. The same rows as ``drain`` reads, without a job per batch.
+    """
+    mark = marks.get(source.service)
+    rows = past_mark(table, source.mark_column, mark, where=source.where)
+    end = next_mark(rows, source.mark_column, mark).first()
+    if end.rows:
+        batch = rows.where(F.col(source.mark_column) <= end.hwm)
+        columns = list(source.columns) if source.columns else table.columns
+        wanted = batch.select(*dict.fromkeys([*columns, *source.keys]))
+        made = row_documents(wanted, source.keys, source.service, source.path_column)
+        write_documents(made, f"{out}/{source.service}/{mark}-{end.hwm}", "overwrite")
+        marks.save_one(source.service, end.hwm)
+    return end.rows, end.hwm
+
+
 def drain(
     table: DataFrame, source: TableSource, marks: MarkStore, out: str, max_batches: int | None = None
 ) -> int:
