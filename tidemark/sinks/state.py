@@ -82,20 +82,22 @@ class VersionedTable:
         return _read_or_empty(self.spark, f"{self.root}/ledger", _LEDGER)
 
     def _current(self) -> tuple[int, str | None, int]:
-        row = self._ledger().agg(F.max_by(F.struct("*"), "version").alias("last")).first().last
+        row = self._ledger().orderBy(F.desc("version")).first()
         return (row.version, row.path, row.batch_id) if row else (0, None, -1)
 
-    def base(self) -> DataFrame:
-        _, path, _ = self._current()
-        if path is None:
-            return self.spark.createDataFrame([], self.base_schema)
-        return self.spark.read.schema(self.base_schema).parquet(path)
+    def snapshot(self) -> tuple[DataFrame, DataFrame]:
+        """The base and the rows of later batches (with their ``batch_id``), from one ledger entry."""
+        _, path, last = self._current()
+        base = (
+            self.spark.read.schema(self.base_schema).parquet(path) if path
+            else self.spark.createDataFrame([], self.base_schema)
+        )
+        schema = T.StructType([*self.change_schema.fields, T.StructField("batch_id", T.LongType())])
+        changes = _read_or_empty(self.spark, f"{self.root}/changes", schema)
+        return base, changes.where(F.col("batch_id") > last)
 
     def changes(self) -> DataFrame:
-        """Rows of the batches after the base, with their ``batch_id``."""
-        _, _, last = self._current()
-        schema = T.StructType([*self.change_schema.fields, T.StructField("batch_id", T.LongType())])
-        return _read_or_empty(self.spark, f"{self.root}/changes", schema).where(F.col("batch_id") > last)
+        return self.snapshot()[1]
 
     def last_batch(self) -> int:
         _, _, last = self._current()

@@ -41,9 +41,9 @@ class IndexTable:
         self.table.write_batch(actions, batch_id)
 
     def read(self) -> DataFrame:
+        base, changes = self.table.snapshot()
         return apply_actions(
-            self.table.base(), self.table.changes(), self.identifier, "action", self.modified,
-            self.order, self.content,
+            base, changes, self.identifier, "action", self.modified, self.order, self.content
         )
 
     def compact(self) -> None:

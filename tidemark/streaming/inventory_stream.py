@@ -31,13 +31,13 @@ class InventoryTable:
 
     def read(self, before_batch: int | None = None) -> DataFrame:
         """The stored files; ``before_batch`` leaves out that batch and later ones."""
-        changes = self.table.changes()
+        base, changes = self.table.snapshot()
         if before_batch is not None:
             changes = changes.where(F.col("batch_id") < before_batch)
         last = changes.groupBy("path").agg(
             F.max_by(F.struct("status", "last_modified_ms", "size"), "batch_id").alias("_c")
         ).select("path", "_c.*")
-        return inv.as_inventory(inv.apply_changes(self.table.base(), last))
+        return inv.as_inventory(inv.apply_changes(base, last))
 
     def compact(self) -> None:
         self.table.write_base(self.read(), self.table.last_batch())
