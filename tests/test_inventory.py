@@ -66,6 +66,13 @@ def test_diff_statuses(spark):
         "/f/big": "reject"}
 
 
+def test_copies_of_a_listed_path_count_once(spark):
+    prev = listing(spark, [("/f/a", 1000, 1)])
+    cur = listing(spark, [("/f/a", 1000, 1), ("/f/a", 9000, 2), ("/f/b", 1, 1)] + [("/f/a", 5000, 1)] * 50)
+    got = sorted((r.path, r.status, r.size) for r in inv.diff(prev, cur).collect())
+    assert got == [("/f/a", "update", 2), ("/f/b", "insert", 1)]
+
+
 def test_zero_times_do_not_hide_presence(spark):
     prev = listing(spark, [("/f/a", None, None)])
     cur = listing(spark, [("/f/a", None, 1), ("/f/b", None, 1)])

@@ -64,6 +64,19 @@ def test_replayed_batch_and_compaction_change_nothing(spark, tmp_path):
     assert rows_of(table) == {2: (0, "old2"), 3: (9, "c")}
 
 
+def test_a_second_stream_does_not_replace_batches_of_the_first(spark, tmp_path):
+    table = index_table(spark, tmp_path)
+    for n, (ident, content) in enumerate([(7, "seven"), (8, "eight")]):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([(ident, "INSERT", 5 + n, n, content)], ACTIONS).write.parquet(source)
+        for _ in range(2):
+            stream = spark.readStream.schema(ACTIONS).parquet(source)
+            stream_actions(stream, lambda df: df, table, str(tmp_path / f"check{n}")).awaitTermination()
+        if n == 0:
+            table.compact()
+    assert rows_of(table) == {1: (0, "old1"), 2: (0, "old2"), 7: (5, "seven"), 8: (6, "eight")}
+
+
 def test_listing_stream(spark, tmp_path):
     def listing(rows):
         return inv.as_inventory(spark.createDataFrame(rows, "path string, last_modified_ms bigint, size bigint"))

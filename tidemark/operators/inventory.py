@@ -29,7 +29,8 @@ def newest_per_path(df: DataFrame) -> DataFrame:
 def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None) -> DataFrame:
     """Status of every file of two listings, in one full outer join on path.
 
-    Both sides hold at most one row per path. New files are inserts, files whose
+    The stored side holds one row per path; of a path listed several times the
+    newest row counts (reduced before the shuffle the join needs anyway). New files are inserts, files whose
     whole-second time moved forward are updates, stored files that vanished are
     deletes. A file the rules refuse is a reject when new and a delete when stored.
     An entry present but unreadable is left unchanged, never deleted.
@@ -40,7 +41,7 @@ def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None
         "path", F.lit(True).alias("was"), F.col("last_modified_ms").alias("old_ms"),
         F.col("size").alias("old_size"),
     )
-    cur = current.where(~F.col("is_dir")).select(
+    cur = newest_per_path(current.where(~F.col("is_dir"))).select(
         "path", F.lit(True).alias("is"), rules.keeps_entry().alias("kept"),
         readable.alias("readable"), F.col("last_modified_ms").alias("new_ms"),
         F.col("size").alias("new_size"),

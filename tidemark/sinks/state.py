@@ -17,6 +17,10 @@ _LEDGER = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+_STREAMS = T.StructType([
+    T.StructField("checkpoint", T.StringType()),
+    T.StructField("first_batch", T.LongType()),
+])
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
@@ -104,6 +108,22 @@ class VersionedTable:
         newest = self.changes().agg(F.max("batch_id")).first()[0]
         return last if newest is None else newest
 
+    def batch_offset(self, checkpoint: str) -> int:
+        """First batch id of the stream with this checkpoint.
+
+        A stream numbers its batches from 0. A further stream on the same table
+        starts after the batches already there, and keeps that start on restarts.
+        """
+        path = f"{self.root}/streams"
+        known = _read_or_empty(self.spark, path, _STREAMS).where(F.col("checkpoint") == checkpoint).first()
+        if known:
+            return known.first_batch
+        start = self.last_batch() + 1
+        self.spark.range(1).select(
+            F.lit(checkpoint).alias("checkpoint"), F.lit(start).cast("bigint").alias("first_batch")
+        ).coalesce(1).write.mode("append").parquet(path)
+        return start
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         names = self.change_schema.names
         rows.select(*names).write.mode("overwrite").parquet(f"{self.root}/changes/batch_id={batch_id}")

@@ -57,9 +57,10 @@ def stream_actions(
 ) -> StreamingQuery:
     """Start the stream: every available row once, or on an interval when one is given."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    first = index.table.batch_offset(checkpoint)
     return (
         to_actions(source).writeStream
-        .foreachBatch(lambda batch, batch_id: index.write(batch, batch_id))
+        .foreachBatch(lambda batch, batch_id: index.write(batch, first + batch_id))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -64,10 +64,10 @@ def stream_listings(
     interval: str | None = None,
 ) -> StreamingQuery:
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    chosen = rules or PathRules()
+    chosen, first = rules or PathRules(), table.table.batch_offset(checkpoint)
     return (
         source.writeStream
-        .foreachBatch(lambda batch, batch_id: table.apply_listing(batch, batch_id, chosen))
+        .foreachBatch(lambda batch, batch_id: table.apply_listing(batch, first + batch_id, chosen))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
