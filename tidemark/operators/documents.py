@@ -28,17 +28,18 @@ def row_documents(
 
     Rows without any key part are left out (incremental.null_key_count counts them).
     """
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("name"), F.array(F.col(c).cast("string")).alias("values"))
-        for c in df.columns
-    ])
+    # Column names are distinct, so the map needs no merging.
+    values = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in df.columns]),
+        F.array(*[F.array(F.col(c).cast("string")) for c in df.columns]),
+    )
     found = [c for c in df.columns if path_column and c.lower() == path_column.lower()]
     temp_path = F.col(found[0]).cast("string") if found else F.lit(None).cast("string")
     return usable_keys(df, keys).select(
         doc_id(*keys).alias("id"),
         F.lit(f"JDBC://{service}").alias("source"),
         temp_path.alias("temp_path"),
-        merge_entries(entries).alias("fields"),
+        F.map_filter(values, lambda _, v: v[0].isNotNull()).alias("fields"),
     )
 
 

@@ -36,14 +36,17 @@ def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None
     An entry present but unreadable is left unchanged, never deleted.
     """
     rules = rules or PathRules()
-    readable = F.coalesce(F.col("readable"), F.lit(True)) if "readable" in current.columns else F.lit(True)
+    flag = F.col("readable") if "readable" in current.columns else F.lit(True)
+    listed = current.where(~F.col("is_dir")).select(
+        "path", "last_modified_ms", "size", F.coalesce(flag, F.lit(True)).alias("readable")
+    )
     prev = previous.where(~F.col("is_dir")).select(
         "path", F.lit(True).alias("was"), F.col("last_modified_ms").alias("old_ms"),
         F.col("size").alias("old_size"),
     )
-    cur = newest_per_path(current.where(~F.col("is_dir"))).select(
-        "path", F.lit(True).alias("is"), rules.keeps_entry().alias("kept"),
-        readable.alias("readable"), F.col("last_modified_ms").alias("new_ms"),
+    cur = newest_per_path(listed).withColumn("is_dir", F.lit(False)).select(
+        "path", F.lit(True).alias("is"), rules.keeps_entry().alias("kept"), "readable",
+        F.col("last_modified_ms").alias("new_ms"),
         F.col("size").alias("new_size"),
     )
     was, now = F.col("was").isNotNull(), F.col("is").isNotNull()

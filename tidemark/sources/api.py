@@ -22,8 +22,13 @@ def documents_of(pages: DataFrame) -> DataFrame:
 
 
 def parse_documents(texts: DataFrame, text: str | Column, folder: T.StructType | None = None) -> DataFrame:
-    """Documents held as JSON text; unreadable text gives a null ``doc``."""
-    return texts.withColumn("doc", F.from_json(text, model.api_document_schema(folder)))
+    """Documents held as JSON text; unreadable text gives a null ``doc``.
+
+    The one-element explode keeps the parsed value: filters on its fields are not
+    moved below it, where Spark would parse the text again for every field.
+    """
+    parsed = F.from_json(text, model.api_document_schema(folder))
+    return texts.select("*", F.explode(F.array(parsed)).alias("doc"))
 
 
 def read_comment_pages(spark: SparkSession, path: str) -> DataFrame:
