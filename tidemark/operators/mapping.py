@@ -122,21 +122,28 @@ def map_fields(
     kind = "array<struct<target:string,values:array<string>>>"
 
     def sent(done: Column, item: Column) -> Column:
-        target, name = mapping.target_of(item["key"]), item["key"]
+        target, name = item["target"], item["key"]
 
         def add(to: Column, values: Column) -> Column:
             return F.concat(done, F.array(F.struct(to.alias("target"), values.alias("values"))))
 
         free = ~F.array_contains(reserved, name) & ~F.exists(done, lambda d: d["target"] == name)
-        joined = F.when(mapping.is_multi(target), item["value"]).otherwise(
-            F.array(F.array_join(item["value"], ","))
-        )
         return (
-            F.when(target.isNotNull() & free, add(target, joined))
-            .when(mapping.is_dynamic(name), add(name, item["value"]))
+            F.when(target.isNotNull() & free, add(target, item["sent"]))
+            .when(item["dynamic"], add(name, item["value"]))
             .otherwise(done)
         )
 
+    def prepared(entry: Column) -> Column:
+        """Target, dynamic flag and outgoing values of one field, worked out once."""
+        target = mapping.target_of(entry["key"])
+        joined = F.array(F.array_join(entry["value"], ","))
+        return F.struct(
+            entry["key"].alias("key"), entry["value"].alias("value"), target.alias("target"),
+            mapping.is_dynamic(entry["key"]).alias("dynamic"),
+            F.when(mapping.is_multi(target), entry["value"]).otherwise(joined).alias("sent"),
+        )
+
     def as_map(done: Column) -> Column:
         names = F.array_distinct(F.transform(done, lambda d: d["target"]))
         return F.map_from_arrays(names, F.transform(names, lambda n: F.flatten(
@@ -150,7 +157,12 @@ def map_fields(
             F.filter(F.coalesce(e["value"], no_strings()), lambda v: v.isNotNull()).alias("value"),
         ),
     )
-    items = F.array_sort(F.filter(filled, lambda e: F.size(e["value"]) > 0))
+    known = F.filter(
+        F.transform(F.filter(filled, lambda e: F.size(e["value"]) > 0), prepared),
+        lambda i: i["target"].isNotNull() | i["dynamic"],
+    )
+    # The key comes first in the struct, so the natural order is the name order.
+    items = F.array_sort(known)
     return df.withColumn(out, let(F.aggregate(items, F.array().cast(kind), sent), as_map))
 
 
