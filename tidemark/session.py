@@ -45,15 +45,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder of its own; on a
     cluster such a folder would be invisible to the other machines.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir() is None:
+        if not root and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="tidemark-"))
+    return root or context.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
