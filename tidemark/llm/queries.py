@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import url_filter
+from . import simhash, url_filter
 from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     tracked = pages.filter(F.col("url").contains("?utm_"))
     found = url_filter.url_filter(pages, tracked, URL_RULES)
     return found.select("page_id", "host", "path", "rule", "listed", "verdict")
+
+
+@query()
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document, links at four or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
