@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, url_filter
+from . import decontamination, simhash, url_filter
 from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "listed", "verdict")
 
 
+@query()
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and the items that occur."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_hits(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontamination.hit_words().alias("n_hit"),
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("hit_items")), 256).alias("items_sha256"),
+        (F.size("hit_starts") > 0).alias("contaminated"),
+    )
+
+
 @query()
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, links at four or fewer differing bits."""
