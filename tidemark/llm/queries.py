@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, simhash, url_filter
+from . import decontamination, piece_bpe, simhash, url_filter
 from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, links at four or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def piece_model() -> str:
+    """The public SentencePiece BPE model that is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with an end id and decoded again, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_bpe.encode_documents(docs, piece_model()).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
