@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.common import col
 from ..session import configure
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -36,7 +37,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def fold(doc_id: Column | str) -> Column:
     """Fold 0, 1 or 2 of a document; fold 1 is held out of all training."""
-    return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3
+    return F.crc32(col(doc_id).cast("string")) % 3
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -47,9 +48,9 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def spread(df: DataFrame, column: str) -> Column:
-    """A number in [0, 1) that depends on the column alone; for stated, repeatable samples."""
-    return F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(1 << 30)) / float(1 << 30)
+def spread(column: str, salt: str) -> Column:
+    """A number in [0, 1) that depends on the column and salt alone; for stated, repeatable samples."""
+    return F.pmod(F.xxhash64(F.col(column).cast("string"), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
 
 def schema_with(df: DataFrame, *fields: T.StructField) -> T.StructType:

@@ -255,10 +255,10 @@ class Encoder:
             return
         symbols, offsets = self.pieces.merge(new)
         outside = np.logical_or.reduceat(symbols >= self.pieces.size, offsets[:-1]).tolist()
+        inside = np.minimum(symbols, self.pieces.size - 1).tolist()
         symbols, offsets = symbols.tolist(), offsets.tolist()
-        last = self.pieces.size - 1
-        names = [self.names[min(i, last)] for i in symbols]
-        data = [self.pieces.bytes[min(i, last)] for i in symbols]
+        names = [self.names[i] for i in inside]
+        data = [self.pieces.bytes[i] for i in inside]
         for cut, a, b, odd in zip(new, offsets, offsets[1:], outside, strict=False):
             if odd:
                 ids = self.pieces.ids_of(symbols[a:b])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, piece_bpe, simhash, url_filter
-from .common import prepare
+from . import decontamination, piece_bpe, simhash, toxicity, url_filter
+from .common import fold, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learnt from two of three folds only."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.filter(fold("doc_id") != 1), labels.filter(fold("doc_id") != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 @query()
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, links at four or fewer differing bits."""

@@ -191,7 +191,9 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, bucket_limit: int = 4096)
     if radius not in (0, 2, 4):
         raise ValueError("one-bit balls of two halves, and whole balls of half the radius, prove radius 0, 2 and 4")
     checkpoint_root(fps.sparkSession)
-    keyed = fps.select("fp").mapInArrow(half_balls, "key long, fp long")
+    # A few bytes for each fingerprint become 66 keys, so they are dealt out by number, not by size.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = fps.select("fp").repartition(tasks, "fp").mapInArrow(half_balls, "key long, fp long")
     found = (
         keyed.repartition("key").sortWithinPartitions("key")
         .mapInArrow(bucket_links(radius, bucket_limit), "a long, b long")
