@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, piece_bpe, simhash, toxicity, url_filter
+from . import decontamination, piece_bpe, secret_scan, simhash, toxicity, url_filter
 from .common import fold, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the base rules' spans and the network's."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs, secret_scan.train(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"
+    )
+
+
 @query()
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, links at four or fewer differing bits."""
