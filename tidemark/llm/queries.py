@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, piece_bpe, secret_scan, simhash, toxicity, url_filter
+from . import decontamination, line_quality, piece_bpe, secret_scan, simhash, toxicity, url_filter
 from .common import fold, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,52 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, source,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+win AS (
+  SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS w
+  FROM (SELECT rid, words, unnest(generate_series(1, len(words) - 4)) AS i FROM d WHERE len(words) >= 5)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS n FROM win) WHERE n > 1),
+covered AS (
+  SELECT rid, sum(least(5, coalesce(following - i, 5))) AS n
+  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM twice) GROUP BY rid),
+lines AS (
+  SELECT rid, source, md5(text) AS h, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
+  FROM (SELECT rid, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
+normal AS (
+  SELECT rid, source, h, len(lw) AS n, regexp_replace(lower(array_to_string(lw, ' ')), '[0-9]', '0', 'g') AS line
+  FROM lines),
+texts AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
+often AS (
+  SELECT l.source, l.line
+  FROM (SELECT source, line, count(DISTINCT h) AS n FROM normal GROUP BY source, line) l
+  JOIN texts t ON l.source IS NOT DISTINCT FROM t.source
+  WHERE l.n > 20 AND l.n > 0.001 * t.n),
+gone AS (
+  SELECT l.rid, sum(l.n) AS n
+  FROM normal l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY l.rid),
+counts AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
+  FROM d LEFT JOIN covered USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN gone USING (rid)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)
+SELECT *, NOT base_failed AND n_words - removed_words >= 0.5 * n_words AND n_words - removed_words >= 10 AS kept
+FROM judged
+""")
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and the verdict on lines its source repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_quality.quality_rules(docs).drop("source")
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learnt from two of three folds only."""
