@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_quality, piece_bpe, secret_scan, simhash, toxicity, url_filter
+from . import (
+    decontamination, language_id, line_quality, piece_bpe, secret_scan, simhash, toxicity, unigram_count, url_filter,
+)
 from .common import fold, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +138,16 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality_rules(docs).drop("source")
 
 
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; languages are learnt from two of three folds only."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(fold("doc_id") != 1))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learnt from two of three folds only."""
@@ -176,3 +188,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(docs, piece_model()).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
     )
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document, with the pieces and scores of the public model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return unigram_count.count_tokens(docs, piece_model()).select("doc_id", "n_tokens", "score")
