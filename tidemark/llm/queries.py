@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, language_id, line_quality, piece_bpe, secret_scan, simhash, toxicity, unigram_count, url_filter,
+    decontamination, language_id, line_quality, piece_bpe, secret_scan, simhash, toxicity, transcripts,
+    unigram_count, url_filter,
 )
 from .common import fold, prepare
 
@@ -195,3 +196,40 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every document, with the pieces and scores of the public model."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return unigram_count.count_tokens(docs, piece_model()).select("doc_id", "n_tokens", "score")
+
+
+#: Ways in which transcripts name their speakers: system, user, assistant; what follows a turn.
+TRANSCRIPT_STYLES = (
+    ("System: ", "User: ", "Assistant: ", ""),
+    ("[system] ", "[human] ", "[ai] ", "\n"),
+    ("### Instructions:\n", "### Question:\n", "### Answer:\n", "\n"),
+    ("**Context:** ", "**Q:** ", "**A:** ", ""),
+    ("<system>\n", "<customer>\n", "<bot>\n", "\n"),
+)
+
+
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """``(conv_id, seq, role, text)``: conversations as raw text in one of the styles.
+
+    One turn in eight lacks its marker, by a hash of its place.
+    """
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(TRANSCRIPT_STYLES)))
+    lacks = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8)) == 0
+    marker = after = F.lit("")
+    for i, (*markers, end) in enumerate(TRANSCRIPT_STYLES):
+        for role, text in zip(transcripts.ROLES, markers, strict=True):
+            marker = F.when((style == i) & (F.col("role") == role), F.lit(text)).otherwise(marker)
+        after = F.when(style == i, F.lit(end)).otherwise(after)
+    text = F.concat(F.when(lacks, "").otherwise(marker), F.coalesce("text", F.lit("")), after)
+    return conversations.select("conv_id", F.col("turn").alias("seq"), "role", text.alias("text"))
+
+
+@query()
+def op10_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns of all conversations, recovered from raw transcripts.
+
+    The model learns from two of three folds of the conversations.
+    """
+    raw = raw_transcripts(table(spark, sf_dir, "conversations"))
+    model = transcripts.train(raw.filter(fold("conv_id") != 1))
+    return transcripts.parse(raw.drop("role"), model)
