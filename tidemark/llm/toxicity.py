@@ -255,3 +255,15 @@ def score(docs: DataFrame, model: ToxicModel, text: str = "text", threshold: flo
     return docs.mapInArrow(run, schema_with(
         docs, T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)
     ))
+
+
+def keep_clean(docs: DataFrame, model: ToxicModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with their own columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([shared.value.score(t) < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
