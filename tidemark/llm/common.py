@@ -48,6 +48,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def packed(df: DataFrame, used: dict[str, str], without: Iterable[str] = ()) -> DataFrame:
+    """``df`` as the columns ``used`` (new name to old one) and all columns in one struct ``_row``.
+
+    No column's name can then clash with those an operator makes on its way;
+    ``select("_row.*", …)`` unpacks them. Columns named in ``without`` are left out.
+    """
+    left_out = {n.lower() for n in without}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in left_out]
+    row = F.struct(*kept) if kept else F.struct(F.lit(None).alias("_none"))
+    return df.select(*[F.col(f"`{old}`").alias(new) for new, old in used.items()], row.alias("_row"))
+
+
 def spread(column: str, salt: str) -> Column:
     """A number in [0, 1) that depends on the column and salt alone; for stated, repeatable samples."""
     return F.pmod(F.xxhash64(F.col(column).cast("string"), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import let
 from ..session import checkpoint_root
-from .common import free_name
+from .common import packed
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]"
@@ -78,24 +78,23 @@ def repeated_words(words: Column, width: int = 5) -> Column:
 
 
 def measured(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per document with its counts, ``_hash`` of the text and ``_lines`` (hash, words)."""
-    body, words, lines = (free_name(docs, n) for n in ("_body", "_words", "_line_texts"))
-    kept = [c for c in docs.columns if c.lower() not in {*RESULTS, text.lower()}]
-    parsed = docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumns({
-        words: words_of(F.col(body)), lines: lines_of(F.col(body)),
-    })
-    by_line = F.transform(F.col(lines), lambda line: F.struct(
+    """One row per document with its counts, ``_host``, ``_hash`` of the text and ``_lines`` (hash, words).
+
+    The other columns are in the struct ``_row``.
+    """
+    parsed = packed(docs, {"_text": text, "_host": host}, (text, *RESULTS)).withColumn(
+        "_text", F.coalesce("_text", F.lit(""))
+    ).withColumns({"_words": words_of(F.col("_text")), "_own": lines_of(F.col("_text"))})
+    by_line = F.transform("_own", lambda line: F.struct(
         F.xxhash64(normalised(line)).alias("hash"), F.size(words_of(line)).alias("words")))
     return parsed.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.col(host).cast("string").alias("_host"),
-        F.size(words).cast("bigint").alias("n_words"),
-        F.length(F.array_join(F.col(words), "")).cast("bigint").alias("word_chars"),
-        F.length(F.regexp_replace(F.col(body), r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(F.col(lines)))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col(words)).alias("n_repeat_words"),
-        F.xxhash64(F.col(body)).alias("_hash"),
-        by_line.alias("_lines"),
+        "_row", F.col("_host").cast("string").alias("_host"),
+        F.size("_words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        F.length(F.regexp_replace("_text", r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        (F.size("_own") - F.size(F.array_distinct("_own"))).cast("bigint").alias("n_dup_lines"),
+        repeated_words(F.col("_words")).alias("n_repeat_words"),
+        F.xxhash64("_text").alias("_hash"), by_line.alias("_lines"),
     )
 
 
@@ -134,7 +133,7 @@ def quality_rules(
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - gone
     return joined.select(
-        *[F.col(f"`{c}`") for c in rows.columns if c not in {"_host", "_hash", "_lines"}],
+        "_row.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         gone.alias("removed_words"), failed.alias("base_failed"),
         (~failed & (left >= min_left * F.col("n_words")) & (left >= min_words)).alias("kept"),
     )
@@ -151,9 +150,9 @@ def remove_lines(
     same = F.col("_host").eqNullSafe(F.col("_h")) & (F.col("hash") == F.col("_l"))
     hit = own.join(often.withColumnsRenamed({"_host": "_h", "line": "_l"}), same).groupBy("_host", "_hash").agg(
         F.collect_set("hash").alias("_removed"))
-    body = F.coalesce(F.col(text), F.lit(""))
-    joined = docs.join(hit, F.col(host).cast("string").eqNullSafe(F.col("_host")) & (F.xxhash64(body) == F.col("_hash")), "left")
-    lines = F.filter(F.split(F.col(text), "\n"), lambda line: ~(
+    whole = packed(docs, {"_text": text, "_of": host}).withColumn("_key", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    joined = whole.join(hit, F.col("_of").cast("string").eqNullSafe(F.col("_host")) & (F.col("_key") == F.col("_hash")), "left")
+    lines = F.filter(F.split("_text", "\n"), lambda line: ~(
         line.rlike(_WORD) & F.array_contains("_removed", F.xxhash64(normalised(line)))))
-    clean = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return joined.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    clean = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(F.array_join(lines, "\n"))
+    return joined.select(*[clean.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_root
-from .common import free_name, schema_with, with_arrays
+from .common import free_name, packed, schema_with, with_arrays
 from .components import components
 
 SEED = 42
@@ -208,7 +208,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, bucket_limit: int = 4096)
     return links.unionByName(wide.join(least, "key").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct())
 
 
-def _printed(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+def _printed(docs: DataFrame, text: str, width: int) -> DataFrame:
     """Every column but the text, with ``_fp`` and ``_text_hash``; written once, read often."""
     checkpoint_root(docs.sparkSession)
     hashed = docs.withColumn("_text_hash", F.xxhash64(F.col(text)))
@@ -232,16 +232,15 @@ def near_duplicates(
 
     The component's id is the smallest id reachable, the row's own included.
     """
-    printed = _printed(docs, doc_id, text, width)
+    made = (text, "fingerprint", "component_id")
+    printed = _printed(packed(docs, {"_id": doc_id, "_text": text}, made), "_text", width)
     roots = _roots(printed, radius, bucket_limit)
-    by_print = printed.groupBy("_fp").agg(F.min(doc_id).alias("_id"))  # copies are one row from here on
+    by_print = printed.groupBy("_fp").agg(F.min("_id").alias("_id"))  # copies are one row from here on
     rooted = by_print.join(roots, "_fp")
     ids = rooted.groupBy("_root").agg(F.min("_id").alias("_component"))
     named = rooted.join(ids, "_root").select("_fp", "_component")
-    kept = [c for c in docs.columns if c.lower() not in {text.lower(), "fingerprint", "component_id"}]
     return printed.join(named, "_fp").select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id"),
+        "_row.*", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id"),
     )
 
 
@@ -254,7 +253,7 @@ def keep_one(
     A component without any id keeps one of its rows. Of full copies under one id
     one row stays.
     """
-    printed = _printed(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_id", "_text", width)
+    printed = _printed(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_text", width)
     choice = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_text_hash").alias("hash"))
     best = printed.groupBy("_fp").agg(F.min(choice).alias("_best"))
     kept = (
