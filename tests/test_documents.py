@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark import model
 from tidemark.operators import documents as docs
 from tidemark.plans.api_ingest import next_marks, of_classes, plan_api, recent_documents
+from tidemark.operators import numbering
 from tidemark.sinks.output import catalogue, write_catalogue
 from tidemark.sources import api
 
@@ -73,16 +74,16 @@ def test_flat_metas_keep_all_values(landed):
     assert "metas_empty" not in fields and "metas_richtext" not in fields
 
 
-def test_attachment_rows_and_comments(spark, landed):
+def test_attachment_rows_and_comments(spark, landed, monkeypatch):
     pages = spark.createDataFrame([
         ("1", [("t2", "t2", "second", ("e", "n")), ("t1", "t1", "first", None)], "next"),
         ("1", [("t3", "t3", "third", None)], None),
         ("9", [], None),
     ], model.COMMENT_PAGE)
     joined = docs.comments_joined(docs.comment_rows(pages))
-    small = docs.comments_joined(docs.comment_rows(pages), part_rows=2, max_group_rows=1).orderBy("part").collect()
-    assert [(r.part, r.n_values) for r in small] == [(0, 2), (1, 1)]
-    assert "|".join(r.comments for r in small) == joined.first().comments
+    monkeypatch.setattr(numbering, "PIECE", 2)
+    pieces = docs.comments_joined(docs.comment_rows(pages))
+    assert pieces.collect() == joined.collect() and joined.first().n_values == 3
     marks = spark.createDataFrame([("L1", 2000)], "source string, hwm bigint")
     rows = {r.id: r for r in plan_api(landed, marks, joined, "store@x", "API_").collect()}
     assert sorted(rows) == ["1-1", "1-2", "4-1", "4-2"]
@@ -90,9 +91,7 @@ def test_attachment_rows_and_comments(spark, landed):
     assert (one.parent_id, one.mime, one.size, one.source, one.action) == ("1", "image/png", 0, "API_Library", "UPSERT")
     assert one.fields["metas_comments"] == [
         "null _ null _ t1 _ t1 _ first|n _ e _ t2 _ t2 _ second|null _ null _ t3 _ t3 _ third"]
-    in_parts = docs.comments_joined(docs.comment_rows(pages), part_rows=2)
-    split = plan_api(landed, marks, in_parts, "store@x").where("id = '1-2'").orderBy("part").collect()
-    assert "|".join(r.fields["metas_comments"][0] for r in split) == one.fields["metas_comments"][0]
+    assert len(plan_api(landed, marks, pieces, "store@x").where("id = '1-2'").collect()) == 1
     assert one.fields["metas_attachmentname"] == ["b"] and "metas_comments" not in rows["4-1"].fields
 
 
@@ -171,7 +170,7 @@ def test_attachment_children(spark):
     assert [r[0] for r in df.select(docs.attachment_count()).collect()] == [2, 0]
 
 
-def test_class_list_and_libraries(spark, tmp_path):
+def test_class_list_and_libraries(spark, tmp_path, monkeypatch):
     (tmp_path / "classes.json").write_text(json.dumps({"items": [
         {"id": "1", "displayName": "A"}, {"id": "1", "displayName": "A"}, {"id": "2"}, {"displayName": "x"}]}))
     pages = api.read_class_pages(spark, str(tmp_path / "classes.json"))
@@ -187,5 +186,5 @@ def test_class_list_and_libraries(spark, tmp_path):
     back = spark.read.schema(model.LIBRARY).json(str(tmp_path / "out")).first()
     assert [tuple(i) for i in back.documentTypes.items] == [("A", "1"), ("B", "2")]
     assert json.loads(docs.library_json(libs).first().task)["documentTypes"]["items"][1] == {"name": "B", "value": "2"}
-    split = catalogue(classes, part_rows=1, max_group_rows=1).collect()
-    assert sorted((r.part, r.documentTypes.items[0].name) for r in split) == [(0, "A"), (1, "B")]
+    monkeypatch.setattr(numbering, "PIECE", 1)
+    assert [[i.name for i in r.documentTypes.items] for r in catalogue(classes).collect()] == [["A", "B"]]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
+from tidemark.functions.nested import folder_chain
 
 
 def one(spark, column, value=None, kind="string"):
@@ -264,3 +265,10 @@ def test_extend_fields(spark):
     assert got({"a": ["1"]}, [("b", ["2"])]) == {"a": ["1"], "b": ["2"]}
     assert got({"a": ["1"]}, [("a", ["2"])]) == {"a": ["1", "2"]}
     assert got({"a": ["1"]}, [("b", [])]) == {"a": ["1"]}
+
+
+def test_a_long_folder_chain_is_whole(spark):
+    folders = [(f"f{i}", f"f{i - 1}" if i else None, f"n{i}", i == 0, i == 1) for i in range(150)]
+    kind = "folderId string, parentFolderId string, name string, folderIsRoot boolean, parentFolderIsRoot boolean"
+    df = spark.createDataFrame([(folders,)], f"f array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>")
+    assert df.select(folder_chain("f").alias("n")).first().n == [f"n{i}" for i in range(150)]

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import incremental as inc
-from tidemark.operators.numbering import joined_in_parts, row_number
+from tidemark.operators import numbering
+from tidemark.operators.numbering import joined_text, row_number
 from tidemark.plans.table_ingest import TableSource, batch_documents, drain, read_batch, run_backlog, run_once
 from tidemark.sinks.state import MarkStore, marks_from_lines
 
@@ -23,13 +24,13 @@ def ids(df, column="id"):
 
 
 def test_first_read_takes_everything(titles):
-    batch = read_batch(titles, SOURCE, 0)
+    batch = read_batch(titles, SOURCE, 0, inc.batch_cut(titles, "id", 0, SOURCE.batch))
     assert ids(batch) == [100, 101, 102, 103, 104]
     assert inc.next_mark(batch, "id", 0).first().hwm == 104
 
 
 def test_documents_of_a_batch(titles):
-    doc = batch_documents(read_batch(titles, SOURCE, 103), SOURCE).first()
+    doc = batch_documents(read_batch(titles, SOURCE, 103, 104), SOURCE).first()
     assert (doc.id, doc.source, doc.temp_path) == ("104", "JDBC://titles", "File5.txt")
     assert doc.fields["title"] == ["This is a title"]
 
@@ -89,12 +90,11 @@ def test_stopped_run_is_repeated_from_the_old_mark(spark, tmp_path):
     assert sorted(int(r.id) for r in written.collect()) == [1, 2, 3, 4]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 3])
-def test_planned_batches_cover_every_row_once(spark, limit):
+def test_planned_batches_cover_every_row_once(spark):
     rng = random.Random(3)
     values = [rng.randint(1, 40) for _ in range(200)] + [20] * 100
     df = spark.createDataFrame([(v,) for v in values], "m int").repartition(5)
-    plan = inc.plan_batches(df, "m", 0, 30, max_group_rows=limit).orderBy("batch").collect()
+    plan = inc.plan_batches(df, "m", 0, 30).orderBy("batch").collect()
     assert sum(r.rows for r in plan) == len(values)
     for earlier, later in zip(plan, plan[1:]):
         assert earlier.last_mark < later.first_mark
@@ -102,12 +102,11 @@ def test_planned_batches_cover_every_row_once(spark, limit):
         assert r.rows == sum(r.first_mark <= v <= r.last_mark for v in values)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 5])
-def test_row_number_with_a_hot_key(spark, limit):
+def test_row_number_with_a_hot_key(spark):
     rng = random.Random(5)
     rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.randint(0, 9), i) for i in range(300)]
     df = spark.createDataFrame(rows, "k string, o int, i int").repartition(4)
-    got = row_number(df, ["k"], ["o"], "n", limit).collect()
+    got = row_number(df, ["k"], ["o"], "n").collect()
     assert sorted((r.k or "", r.o, r.i) for r in got) == sorted((k or "", o, i) for k, o, i in rows)
     for key in {r.k for r in got}:
         group = sorted((r.n, r.o) for r in got if r.k == key)
@@ -115,15 +114,13 @@ def test_row_number_with_a_hot_key(spark, limit):
         assert [o for _, o in group] == sorted(o for _, o in group)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 5])
-def test_parts_hold_every_value_in_order(spark, limit):
+@pytest.mark.parametrize("piece", [10_000, 10])
+def test_text_holds_every_value_in_order(spark, monkeypatch, piece):
+    monkeypatch.setattr(numbering, "PIECE", piece)
     rows = [("a", i, f"v{i}") for i in range(25)] + [("b", 0, "only")] + [("c", 1, "same")] * 12
     df = spark.createDataFrame(rows, "k string, o int, v string").repartition(3)
-    parts = joined_in_parts(df, ["k"], ["o"], "v", "|", "text", 10, max_group_rows=limit).collect()
-    text = {(r.k, r.part): r.text for r in parts}
-    assert "|".join(text["a", p] for p in range(3)) == "|".join(f"v{i}" for i in range(25))
-    assert text["b", 0] == "only"
-    assert [text["c", 0].count("same"), text["c", 1].count("same")] == [10, 2]
+    text = {r.k: (r.n_values, r.text) for r in joined_text(df, ["k"], ["o"], "v", "|", "text").collect()}
+    assert text == {"a": (25, "|".join(f"v{i}" for i in range(25))), "b": (1, "only"), "c": (12, "|".join(["same"] * 12))}
 
 
 def test_recent_is_inclusive_and_defaults_to_zero(spark):

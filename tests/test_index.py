@@ -153,3 +153,23 @@ def test_schema_of_actions_is_kept(spark):
     got = index.apply_actions(old, new, "id", "action", "at", ["at"], ["content"])
     assert [f.dataType for f in got.schema] == [T.LongType(), T.LongType(), T.StringType()]
     assert tuple(got.first()) == (1, 5, "x")
+
+
+def test_header_runs_add_up(spark, tmp_path):
+    def docs(rows):
+        return spark.createDataFrame(rows, "id string, is_stub boolean, size bigint, body string, last_modified_ms bigint, "
+                                           "fields map<string,array<string>>")
+
+    settings = {"path": str(tmp_path / "h"), "index": "main"}
+    table = headers.HeaderTable(spark, settings["path"])
+    assert table.read().count() == 0
+    first = [(str(i), False, 3, f"b{i}", 60_000, {"a": [f"v{i}"]}) for i in range(4)]
+    headers.write_headers(docs(first), settings, 1)
+    headers.write_headers(docs([("9", False, 3, "b9", 60_000, {}), ("0", False, 3, "new", 60_000, {})]), settings, 2)
+    headers.delete_headers(docs([("1", False, 3, "x", 0, {})]), settings, 3)
+    want = {"0": "new", "2": "b2", "3": "b3", "9": "b9"}
+    assert {r.filename: r.body for r in table.read().collect()} == want
+    headers.delete_headers(docs([("1", False, 3, "x", 0, {})]), settings, 3)
+    assert {r.filename: r.body for r in table.read().collect()} == want
+    headers.write_headers(docs([first[1]]), settings, 4)
+    assert {r.filename for r in table.read().collect()} == {*want, "1"}

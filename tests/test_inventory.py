@@ -184,3 +184,10 @@ def test_body_caps(spark):
     flags = spark.createDataFrame([(False, 5), (True, 5), (None, 0), (False, 11)], "s boolean, n bigint")
     assert [r[0] for r in flags.select(has_indexable_content(F.col("s"), F.col("n"), 10)).collect()] == [
         True, False, False, False]
+
+
+def test_patterns_are_judged_by_the_engine_that_runs_them(spark):
+    rules = PathRules(exclude_names=(r".*/\p{Lu}[^/]*", r"/x/a*+b", "(broken", "(?P<python>x)"))
+    df = spark.createDataFrame([("/x/Upper",), ("/x/lower",), ("/x/aab",), ("/x/xx",)], "path string")
+    kept = sorted(r.path for r in df.where(rules.keeps_name("path")).collect())
+    assert kept == ["/x/lower", "/x/xx"] and rules.dropped == ("(broken", "(?P<python>x)")

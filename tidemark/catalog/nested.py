@@ -141,7 +141,7 @@ _COMMENT_SQL = """
 
 
 @query(f"""
-    SELECT conv_id AS doc_id, 0::BIGINT AS part, count(*) AS n_values,
+    SELECT conv_id AS doc_id, count(*) AS n_values,
            string_agg(concat_ws(' _ ', coalesce(author, 'null'), 'null', stamp, stamp, message), '|' ORDER BY turn) AS comments
     FROM ({_COMMENT_SQL}) GROUP BY conv_id
 """)

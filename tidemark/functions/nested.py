@@ -14,7 +14,6 @@ from .paths import ESCAPED_SLASH, SLASH
 from .values import child_id, meta_field_name
 
 READERS = "Readers"
-MAX_FOLDER_STEPS = 100
 
 
 def folder_chain(
@@ -22,9 +21,8 @@ def folder_chain(
 ) -> Column:
     """Folder names from the root down: root, its first child, then by parent id.
 
-    Null without a root. The walk takes at most one step per folder and at most
-    ``MAX_FOLDER_STEPS``, so a broken or cyclic chain ends; folders it does not
-    reach are left out.
+    Null without a root. The walk takes at most one step per folder and enters none
+    twice, so a broken or cyclic chain ends; folders it does not reach are left out.
     """
 
     def walk(items: Column) -> Column:
@@ -62,9 +60,7 @@ def folder_chain(
                 lambda child: F.when(child.isNotNull(), step(state, child)).otherwise(state),
             )
 
-        steps = F.sequence(
-            F.lit(1), F.least(F.greatest(F.size(items), F.lit(1)), F.lit(MAX_FOLDER_STEPS))
-        )
+        steps = F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)))
         return F.when(F.size(roots) > 0, F.aggregate(steps, start, follow)["names"])
 
     return let(col(folders), walk)

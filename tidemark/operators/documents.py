@@ -16,7 +16,7 @@ from ..functions.common import let
 from ..functions.values import DEFAULT_VIEW_URL
 from ..model import DEFAULT_API_FIELDS
 from .incremental import usable_keys
-from .numbering import joined_in_parts
+from .numbering import joined_text
 
 UPSERT = "UPSERT"
 
@@ -211,7 +211,7 @@ def comment_rows(pages: DataFrame) -> DataFrame:
     return flat.where(F.col("comment").isNotNull())
 
 
-def comments_joined(comments: DataFrame, part_rows: int = 10_000, **limits: int) -> DataFrame:
+def comments_joined(comments: DataFrame) -> DataFrame:
     """Comments of each document joined by ``|``, ordered by created, modified, message."""
     c = F.col("comment")
     ordered = comments.select("doc_id", F.struct(
@@ -219,10 +219,7 @@ def comments_joined(comments: DataFrame, part_rows: int = 10_000, **limits: int)
         c["message"].alias("message"), c["author"].alias("author"),
     ).alias("comment"))
     # Ordering by the struct itself: its fields stand in the wanted order.
-    return joined_in_parts(
-        ordered, ["doc_id"], ["comment"], "comment", "|", "comments", part_rows,
-        render=comment_text, **limits,
-    )
+    return joined_text(ordered, ["doc_id"], ["comment"], "comment", "|", "comments", comment_text)
 
 
 def comments_json(comments: DataFrame) -> DataFrame:
@@ -232,9 +229,8 @@ def comments_json(comments: DataFrame) -> DataFrame:
 
 
 def attach_comments(docs: DataFrame, joined: DataFrame) -> DataFrame:
-    """Left join of documents to their comment text (one row per comment part)."""
-    text = joined.select("doc_id", "part", "comments")
-    return docs.join(text, "doc_id", "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
+    """Left join of documents to their whole comment text; one row per document stays one row."""
+    return docs.join(joined.select("doc_id", "comments"), "doc_id", "left")
 
 
 def class_list(pages: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -299,10 +295,5 @@ def attach_body(
     return docs.join(usable, (F.col(path) == F.col("_path")) & allowed, "left").drop("_path")
 
 
-def prepared_actions(docs: DataFrame, status: str | Column, name: str = "action") -> DataFrame:
-    """Set the action of every document in a branch."""
-    return docs.withColumn(name, F.lit(status) if isinstance(status, str) else status)
-
-
 def first_value(fields: str, name: str) -> Column:
     return let(F.try_element_at(F.col(fields), F.lit(name)), lambda v: F.try_element_at(v, F.lit(1)))

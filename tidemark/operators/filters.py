@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import logging
-import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import col
@@ -19,32 +20,49 @@ BODY_CAP = 50_000_000
 HEADER_BODY_CAP = 102_400_000
 
 
-def _usable_patterns(patterns: tuple[str, ...]) -> tuple[str, ...]:
-    kept = []
-    for pattern in patterns:
-        try:
-            re.compile(pattern)
-            kept.append(pattern)
-        except re.error:
-            log.warning("ignoring invalid name pattern %r", pattern)
-    return tuple(kept)
+def _compiles(pattern: str) -> bool:
+    jvm = SparkSession.active()._jvm
+    try:
+        jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException:  # a PatternSyntaxException is one
+        return False
+    return True
+
+
+@lru_cache(maxsize=256)
+def _checked(patterns: tuple[str, ...]) -> tuple[str | None, tuple[str, ...]]:
+    """The usable patterns as one expression, and those that do not compile.
+
+    Spark matches with Java's expressions, so the session's JVM is asked, not Python.
+    """
+    usable = [p for p in patterns if _compiles(p)]
+    dropped = tuple(p for p in patterns if p not in usable)
+    for pattern in dropped:
+        log.warning("ignoring invalid name pattern %r", pattern)
+    joined = "|".join(f"(?:{p})" for p in usable)
+    return (rf"\A(?:{joined})\z" if usable else None), dropped
 
 
 @dataclass(frozen=True)
 class PathRules:
-    """Crawl rules. Name patterns match the whole path; types are compared exactly."""
+    """Crawl rules. Name patterns match the whole path; types are compared exactly.
+
+    Patterns that do not compile are left out, with a warning; ``dropped`` names them.
+    Patterns are compiled when the rules are first used in a session.
+    """
 
     exclude_names: tuple[str, ...] = ()
     include_types: tuple[str, ...] = ()
     exclude_types: tuple[str, ...] = ()
     max_size: int = MAX_FILE_SIZE
-    _names: str | None = field(init=False, repr=False, default=None)
 
-    def __post_init__(self) -> None:
-        names = _usable_patterns(tuple(self.exclude_names))
-        if names:
-            joined = "|".join(f"(?:{p})" for p in names)
-            object.__setattr__(self, "_names", rf"\A(?:{joined})\z")
+    @property
+    def dropped(self) -> tuple[str, ...]:
+        return _checked(tuple(self.exclude_names))[1]
+
+    @property
+    def _names(self) -> str | None:
+        return _checked(tuple(self.exclude_names))[0]
 
     def keeps_name(self, path: Column | str) -> Column:
         return ~col(path).rlike(self._names) if self._names else F.lit(True)

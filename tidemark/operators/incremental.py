@@ -41,18 +41,39 @@ def next_batch(
     """The first ``size`` rows past the mark, extended through ties on the mark column.
 
     Cutting between equal marks would lose the rest of them under the strict
-    comparison of the next read. The cut-off is a top-N over one column; the
-    batch itself is a range filter that reaches the scan.
+    comparison of the next read. The cut-off is a top-N over one column, inside
+    the batch's own plan; ``batch_cut`` gives it as a number instead.
     """
     rows = past_mark(df, mark_column, mark, where=where).where(F.col(mark_column).isNotNull())
-    cut = (
-        rows.select(mark_column).orderBy(mark_column).limit(batch_size(size))
-        .agg(F.max(mark_column)).scalar()
-    )
-    batch = rows.where(F.col(mark_column) <= cut)
+    batch = rows.where(F.col(mark_column) <= _cut(rows, mark_column, size).scalar())
     return batch.select(*columns) if columns else batch
 
 
+def _cut(rows: DataFrame, mark_column: str, size: object) -> DataFrame:
+    return rows.select(mark_column).orderBy(mark_column).limit(batch_size(size)).agg(F.max(mark_column).alias("cut"))
+
+
+def batch_cut(
+    df: DataFrame, mark_column: str, mark: int, size: object = DEFAULT_BATCH, where: str | Column | None = None
+) -> object:
+    """The largest mark of the next batch, None if there is no row: one job over one column."""
+    rows = past_mark(df, mark_column, mark, where=where).where(F.col(mark_column).isNotNull())
+    return _cut(rows, mark_column, size).first()["cut"]
+
+
+def between_marks(
+    df: DataFrame, mark_column: str, mark: int, cut: object,
+    columns: Sequence[str] | None = None, where: str | Column | None = None,
+) -> DataFrame:
+    """Rows past the mark up to ``cut``; both bounds are literals and reach the scan.
+
+    Rows that arrive later with a mark in the range belong to it too, so what is
+    written and the mark that is saved always agree.
+    """
+    rows = past_mark(df, mark_column, mark, where=where).where(F.col(mark_column) <= F.lit(cut))
+    return rows.select(*columns) if columns else rows
+
+
 def next_mark(batch: DataFrame, mark_column: str, mark: int) -> DataFrame:
     """The largest mark of the batch; an empty batch keeps the old one."""
     newest = F.coalesce(F.max(mark_column).cast("bigint"), F.lit(mark).cast("bigint"))
@@ -60,7 +81,7 @@ def next_mark(batch: DataFrame, mark_column: str, mark: int) -> DataFrame:
 
 
 def plan_batches(
-    df: DataFrame, mark_column: str, mark: int, size: object = DEFAULT_BATCH, **limits: int
+    df: DataFrame, mark_column: str, mark: int, size: object = DEFAULT_BATCH
 ) -> DataFrame:
     """Every batch of a full drain in one job: number, rows, first and last mark.
 
@@ -71,7 +92,7 @@ def plan_batches(
     n = batch_size(size)
     values = past_mark(df, mark_column, mark).where(F.col(mark_column).isNotNull())
     counted = values.groupBy(F.col(mark_column).alias("mark")).agg(F.count(F.lit(1)).alias("rows"))
-    placed = rows_before(counted, [], ["mark"], "rows", "_before", **limits)
+    placed = rows_before(counted, [], ["mark"], "rows", "_before")
     batch = F.floor(F.col("_before") / n).cast("bigint")
     return placed.groupBy(batch.alias("batch")).agg(
         F.sum("rows").alias("rows"), F.min("mark").alias("first_mark"), F.max("mark").alias("last_mark")

@@ -12,7 +12,6 @@ from ..functions.common import let, no_strings
 from ..model import MAPPING_FILE
 
 HIER_PREFIX = "_hier_"
-MAX_ENTRIES = 10_000
 
 # Fields mapped without any configuration.
 DEFAULT_TARGETS = {
@@ -82,13 +81,15 @@ class FieldMapping:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FieldMapping:
-        """Read a mapping file; its length is checked before it becomes expression literals."""
+        """Read a mapping file.
+
+        It is one JSON text written by hand, so its entries become expression
+        literals; a mapping that is a table of its own is joined by ``map_long``.
+        """
         rows = (
             spark.read.schema(MAPPING_FILE).option("multiLine", True).json(path)
-            .select(F.inline("iDoc2Solr")).limit(MAX_ENTRIES + 1).collect()
+            .select(F.inline("iDoc2Solr")).collect()
         )
-        if len(rows) > MAX_ENTRIES:
-            raise ValueError(f"more than {MAX_ENTRIES} mapping entries")
         return cls.of((r.idocField, r.solrField, r.dynamicSolrFieldType, r.multi) for r in rows)
 
     def target_of(self, name: Column) -> Column:

@@ -10,34 +10,22 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
-MAX_GROUP_ROWS = 1_000_000
 _SLICE, _TIE = "_slice", "_tie"
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest group; counted with map-side partial sums over the keys only."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+#: Values gathered by one task at a time where a group's values are joined.
+PIECE = 10_000
 
 
 def rows_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
-    name: str = "before", max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None, name: str = "before",
 ) -> DataFrame:
     """Rows (or summed weights) that precede each row among the rows with the same keys.
 
-    While every group is checked to be small a window computes it directly.
-    Beyond that the rows are range-partitioned by keys and order, so a hot group
-    is spread over many tasks; each slice adds up its own rows and then adds the
-    totals of the slices before it.
+    The rows are range-partitioned by keys and order, so a hot group is spread over
+    many tasks; each slice adds up its own rows and then adds the totals of the
+    slices before it. The slices are written by ``checkpoint()`` when this is called.
     """
     amount = F.col(weight) if weight else F.lit(1)
     earlier = (W.unboundedPreceding, -1)
-    if largest_group(df, keys) <= max_group_rows:
-        window = W.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
-        return df.withColumn(name, F.coalesce(F.sum(amount).over(window), F.lit(0)).cast("bigint"))
-
     checkpoint_root(df.sparkSession)
     # The tie column lets full copies of one row be spread as well. The slices
     # are fixed by the checkpoint: a lost task must not re-draw their bounds.
@@ -59,36 +47,38 @@ def rows_before(
     )
 
 
-def row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:
     """1-based number of each row among the rows with the same keys."""
-    counted = rows_before(df, keys, order, None, name, max_group_rows)
-    return counted.withColumn(name, F.col(name) + 1)
+    return rows_before(df, keys, order, None, name).withColumn(name, F.col(name) + 1)
 
 
-def joined_in_parts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str,
-    name: str, part_rows: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
-    render: Callable[[Column], Column] | None = None,
+def gathered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, of_piece: Callable[[Column], Column],
 ) -> DataFrame:
-    """Ordered values of each group joined to text, at most ``part_rows`` values per row.
+    """``(keys, n_values, name)``: pieces of each group's ordered values, as an array in order.
 
-    A group that fits has the single part 0. A larger one continues in parts
-    1, 2, …; nothing is dropped and no task gathers more than one part.
-    ``render`` turns a gathered value into text, so that only the value itself
-    travels through the shuffle.
+    ``of_piece`` turns an array of values into a piece, so only the values travel
+    through the first shuffle and only pieces through the second. One row holds a
+    whole group's pieces, because the caller's record does.
     """
-    numbered = row_number(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, "_n", max_group_rows)
-    part = F.floor((F.col("_n") - 1) / part_rows).cast("bigint")
-    gathered = F.sort_array(F.collect_list(F.struct("_n", F.col(value).alias("v"))))
-    text = render or (lambda v: v)
-    return (
-        numbered.withColumn("part", part).groupBy(*keys, "part")
-        .agg(gathered.alias("_all"))
-        .select(
-            *keys, "part", F.size("_all").cast("bigint").alias("n_values"),
-            F.array_join(F.transform("_all", lambda x: text(x["v"])), separator).alias(name),
-        )
+    numbered = row_number(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, "_n")
+    values = F.transform(F.sort_array(F.collect_list(F.struct("_n", F.col(value).alias("v")))), lambda x: x["v"])
+    pieces = (
+        numbered.withColumn("_piece", F.floor((F.col("_n") - 1) / PIECE)).groupBy(*keys, "_piece")
+        .agg(values.alias("_all"))
+        .select(*keys, "_piece", F.size("_all").cast("bigint").alias("_size"), of_piece(F.col("_all")).alias("_made"))
     )
+    ordered = F.sort_array(F.collect_list(F.struct("_piece", F.col("_made").alias("made"))))
+    return pieces.groupBy(*keys).agg(
+        F.sum("_size").alias("n_values"), F.transform(ordered, lambda x: x["made"]).alias(name)
+    )
+
+
+def joined_text(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str, name: str,
+    render: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Ordered values of each group joined to one text; ``render`` turns a value into text."""
+    text = render or (lambda v: v)
+    made = gathered(df, keys, order, value, name, lambda all_: F.array_join(F.transform(all_, lambda v: text(v)), separator))
+    return made.withColumn(name, F.array_join(name, separator))

@@ -28,15 +28,12 @@ def plan_api(
 ) -> DataFrame:
     """One document per attachment with all ``metas_*`` values.
 
-    With ``comments`` (documents.comments_joined) the rows carry the comment text
-    and its ``part``: 0, or a further number where a document has more comments
-    than one part holds. Such rows repeat the id and continue the text.
+    With ``comments`` (documents.comments_joined) the rows carry the whole comment text.
     """
     typed = recent_documents(docs, marks, link_template=link_template, **names)
     if comments is None:
         return attachment_rows(flat_metas(typed, storage_account), source_prefix)
-    joined = flat_metas(attach_comments(typed, comments), storage_account, comments="comments")
-    return attachment_rows(joined, source_prefix, keep=("part",))
+    return attachment_rows(flat_metas(attach_comments(typed, comments), storage_account, comments="comments"), source_prefix)
 
 
 def next_marks(docs: DataFrame, started_ms: int, library: str = "library_id") -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.documents import row_documents
-from ..operators.incremental import DEFAULT_BATCH, next_batch, next_mark, past_mark
+from ..operators.incremental import DEFAULT_BATCH, batch_cut, between_marks, next_mark, past_mark
 from ..sinks.output import write_documents
 from ..sinks.state import MarkStore
 
@@ -25,10 +25,11 @@ class TableSource:
     batch: object = DEFAULT_BATCH
 
 
-def read_batch(table: DataFrame, source: TableSource, mark: int) -> DataFrame:
+def read_batch(table: DataFrame, source: TableSource, mark: int, cut: object) -> DataFrame:
+    """The rows past the mark up to ``cut``."""
     columns = list(source.columns) if source.columns else table.columns
     needed = list(dict.fromkeys([*columns, source.mark_column, *source.keys]))
-    return next_batch(table, source.mark_column, mark, source.batch, needed, source.where)
+    return between_marks(table, source.mark_column, mark, cut, needed, source.where)
 
 
 def batch_documents(batch: DataFrame, source: TableSource) -> DataFrame:
@@ -40,18 +41,22 @@ def batch_documents(batch: DataFrame, source: TableSource) -> DataFrame:
 def run_once(table: DataFrame, source: TableSource, marks: MarkStore, out: str) -> tuple[int, int]:
     """One batch: write the documents, then save the mark. Returns (rows, mark).
 
-    The mark is written last; a run that stops before leaves the old one and
-    simply reads the same rows again.
+    The cut is fixed first, by a job over the mark column alone; the batch is then
+    read once, between two literal marks, and counted while it is written. The mark
+    saved is the cut, and it is written last; a run that stops before leaves the old
+    one and simply reads the same rows again.
     """
     mark = marks.get(source.service)
-    batch = read_batch(table, source, mark)
-    result = next_mark(batch, source.mark_column, mark).first()
-    if result.rows:
-        # The batch is a range of marks, so its output folder is named by the range
-        # and a repeated run replaces it.
-        write_documents(batch_documents(batch, source), f"{out}/{source.service}/{mark}-{result.hwm}", "overwrite")
-        marks.save_one(source.service, result.hwm)
-    return result.rows, result.hwm
+    cut = batch_cut(table, source.mark_column, mark, source.batch, source.where)
+    if cut is None:
+        return 0, mark
+    # The batch is a range of marks, so its output folder is named by the range
+    # and a repeated run replaces it.
+    seen = Observation()
+    batch = read_batch(table, source, mark, cut).observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_documents(batch_documents(batch, source), f"{out}/{source.service}/{mark}-{int(cut)}", "overwrite")
+    marks.save_one(source.service, int(cut))
+    return seen.get["rows"], int(cut)
 
 
 def run_backlog(table: DataFrame, source: TableSource, marks: MarkStore, out: str) -> tuple[int, int]:
@@ -84,9 +89,3 @@ def drain(
             break
         done += 1
     return done
-
-
-def marks_after(table: DataFrame, source: TableSource, mark: int) -> DataFrame:
-    """(source, hwm) after one batch, without writing anything."""
-    batch = read_batch(table, source, mark)
-    return next_mark(batch, source.mark_column, mark).select(F.lit(source.service).alias("source"), "hwm", "rows")

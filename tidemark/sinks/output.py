@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.numbering import MAX_GROUP_ROWS, row_number
+from ..operators.numbering import gathered
 
 
 def write_action_log(changes: DataFrame, path: str, mode: str = "append") -> None:
@@ -26,30 +26,17 @@ def write_documents(docs: DataFrame, path: str, mode: str = "append") -> None:
     to_messages(docs).select(F.col("message").alias("value")).write.mode(mode).text(path)
 
 
-def catalogue(
-    classes: DataFrame, part_rows: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """Nested library catalogue from (library, class) rows.
-
-    A library with more classes than ``part_rows`` continues in further rows, so
-    no single class list grows without bound.
-    """
+def catalogue(classes: DataFrame) -> DataFrame:
+    """Nested library catalogue from (library, class) rows: one row per library, all classes in it."""
     keys = ["libraryId", "name", "domainName", "storageAdmin"]
     pairs = classes.select(
         "libraryId", F.col("library_name").alias("name"), "domainName", "storageAdmin",
         "class_name", "class_id",
+        F.struct(F.col("class_name").alias("name"), F.col("class_id").alias("value")).alias("_item"),
     ).distinct()
-    numbered = row_number(pairs, keys, ["class_name", "class_id"], "_n", max_group_rows)
-    item = F.struct("_n", F.struct(F.col("class_name").alias("name"), F.col("class_id").alias("value")).alias("i"))
-    return (
-        numbered.withColumn("part", F.floor((F.col("_n") - 1) / part_rows).cast("bigint"))
-        .groupBy(*keys, "part").agg(F.sort_array(F.collect_list(item)).alias("_items"))
-        .select(
-            *keys, "part",
-            F.struct(F.transform("_items", lambda x: x["i"]).alias("items")).alias("documentTypes"),
-        )
-    )
+    nested = gathered(pairs, keys, ["class_name", "class_id"], "_item", "_items", lambda items: items)
+    return nested.select(*keys, F.struct(F.flatten("_items").alias("items")).alias("documentTypes"))
 
 
 def write_catalogue(classes: DataFrame, path: str, mode: str = "overwrite") -> None:
-    catalogue(classes).drop("part").write.mode(mode).json(path)
+    catalogue(classes).write.mode(mode).json(path)
