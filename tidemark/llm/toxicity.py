@@ -157,16 +157,27 @@ def fit(sample: pa.Table, prior: float, min_positive: int = 3, min_lift: float =
         return ToxicModel()
     if not unlabelled.sum():
         unlabelled = np.ones(len(positive))
-    lists = pa.concat_arrays(sample["features"].chunks)
-    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    hashes = lists.flatten().to_numpy()
-    vocabulary, count = np.unique(hashes[positive[row] > 0], return_counts=True)
+    lists = sample["features"].chunks
+    first = np.cumsum([0, *map(len, lists)])
+
+    def ones(hashes_of: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and hashes, a chunk at a time; with a vocabulary only its own, as places in it."""
+        for start, chunk in zip(first, lists, strict=False):
+            row = np.repeat(np.arange(start, start + len(chunk), dtype=np.int32), np.diff(chunk.offsets.to_numpy()))
+            hashes = chunk.flatten().to_numpy()
+            if hashes_of is None:
+                toxic = positive[row] > 0
+                yield row[toxic], hashes[toxic]
+            else:
+                col = np.searchsorted(hashes_of, hashes).astype(np.int32)
+                seen = hashes_of[np.minimum(col, len(hashes_of) - 1)] == hashes
+                yield row[seen], col[seen]
+
+    vocabulary, count = np.unique(np.concatenate([h for _, h in ones()]), return_counts=True)
     vocabulary = vocabulary[count >= min_positive]
     if not len(vocabulary):
         return ToxicModel()
-    col = np.searchsorted(vocabulary, hashes)
-    seen = vocabulary[np.minimum(col, len(vocabulary) - 1)] == hashes
-    row, col = row[seen], col[seen]
+    row, col = map(np.concatenate, zip(*ones(vocabulary), strict=True))
     share = np.bincount(col, positive[row], len(vocabulary)) / positive.sum()
     usual = np.bincount(col, unlabelled[row], len(vocabulary)) / unlabelled.sum()
     telling = share >= min_lift * usual
@@ -194,7 +205,7 @@ def fit(sample: pa.Table, prior: float, min_positive: int = 3, min_lift: float =
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    max_positive: int = 3000, max_unlabelled: int = 8000,
+    max_positive: int = 2500, max_unlabelled: int = 7000,
 ) -> ToxicModel:
     """Fit on the rows given; ``labels`` has an id and a 0/1 label for some of them.
 
