@@ -174,8 +174,8 @@ def test_listing_real_files(spark, tmp_path):
         target.write_text(text)
     rows = {r.name: (r.parent, r.size) for r in list_files(spark, str(tmp_path)).collect()}
     assert rows == {"a.txt": (f"{tmp_path}/x", 5), "b é.txt": (f"{tmp_path}/x/y", 1), "c.bin": (f"{tmp_path}/x", 2)}
-    bodies = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in read_bodies(spark, str(tmp_path), 4).collect()}
-    assert bodies == {"b é.txt": b"1", "c.bin": b"12"}
+    bodies = {r.path.rsplit("/", 1)[1]: r.content for r in read_bodies(spark, str(tmp_path), 4).collect()}
+    assert bodies == {"a.txt": None, "b é.txt": b"1", "c.bin": b"12"}
 
 
 def test_body_caps(spark):
@@ -191,3 +191,27 @@ def test_patterns_are_judged_by_the_engine_that_runs_them(spark):
     df = spark.createDataFrame([("/x/Upper",), ("/x/lower",), ("/x/aab",), ("/x/xx",)], "path string")
     kept = sorted(r.path for r in df.where(rules.keeps_name("path")).collect())
     assert kept == ["/x/lower", "/x/xx"] and rules.dropped == ("(broken", "(?P<python>x)")
+
+
+def test_folders_that_cannot_be_read_and_empty_ones(spark):
+    def rows(names):
+        return inv.as_inventory(spark.createDataFrame([(n, 1000, 1) for n in names], "path string, last_modified_ms bigint, size bigint"))
+
+    stored = rows(["/r/a/1", "/r/b/c/2", "/r/d/3", "/r/e/4"])
+    now = rows(["/r/a/1"]).withColumn("readable", F.lit(True))
+    folder = spark.createDataFrame([("/r/b", "/r", "b", True, 0, 0, False), ("/r/d", "/r", "d", True, 0, 0, True)], now.schema)
+    now = now.unionByName(folder)
+    status = {r.path: r.status for r in inv.diff(stored, now).collect()}
+    assert status == {"/r/a/1": "unchanged", "/r/b/c/2": "unchanged", "/r/d/3": "delete", "/r/e/4": "delete"}
+    plan = plan_crawl(now, stored)
+    assert [r.folder for r in plan.gone_folders.collect()] == ["/r/e"]
+    assert sorted(r.path for r in plan.inventory.collect()) == ["/r/a/1", "/r/b/c/2"]
+    roots = spark.createDataFrame([("/r/d",), ("/gone",)], "folder string")
+    assert [r.folder for r in inv.missing_roots(roots, inv.folders_of(now)).collect()] == ["/gone"]
+
+
+def test_a_body_beyond_the_cap_is_a_row_without_content(spark, tmp_path):
+    (tmp_path / "small.txt").write_text("abc")
+    (tmp_path / "large.txt").write_text("x" * 50)
+    rows = {r.path.rsplit("/", 1)[1]: (r.length, r.content) for r in read_bodies(spark, str(tmp_path), cap=10).collect()}
+    assert rows == {"small.txt": (3, b"abc"), "large.txt": (50, None)}

@@ -59,7 +59,7 @@ def test_replayed_batch_and_compaction_change_nothing(spark, tmp_path):
     table.write(batch, 0)
     assert rows_of(table) == before == {2: (0, "old2"), 3: (6, "c")}
     table.compact()
-    assert rows_of(table) == before and table.table.changes().count() == 0
+    assert rows_of(table) == before and table.table.changes().count() == 2  # the tombstone and the update
     table.write(spark.createDataFrame([(3, "UPDATE", 9, 3, "d")], ACTIONS), 1)
     assert rows_of(table) == {2: (0, "old2"), 3: (9, "c")}
 
@@ -77,18 +77,24 @@ def test_a_second_stream_does_not_replace_batches_of_the_first(spark, tmp_path):
     assert rows_of(table) == {1: (0, "old1"), 2: (0, "old2"), 7: (5, "seven"), 8: (6, "eight")}
 
 
-def test_listing_stream(spark, tmp_path):
-    def listing(rows):
-        return inv.as_inventory(spark.createDataFrame(rows, "path string, last_modified_ms bigint, size bigint"))
+def listing(spark, rows):
+    return inv.as_inventory(spark.createDataFrame(rows, "path string, last_modified_ms bigint, size bigint"))
+
+
+def folders(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "folder string")
 
+
+def test_listing_stream(spark, tmp_path):
     table = InventoryTable(spark, str(tmp_path / "state"))
-    table.start_from(listing([("/r/a/1", 1000, 1), ("/r/a/2", 1000, 1), ("/r/b/3", 1000, 1), ("/r/c/4", 1000, 1)]))
-    empty = spark.createDataFrame([("/r/c", "/r", "c", True, 0, 0)], listing([("/x/y", 1, 1)]).schema)
+    table.start_from(listing(spark, [("/r/a/1", 1000, 1), ("/r/a/2", 1000, 1), ("/r/b/3", 1000, 1), ("/r/c/4", 1000, 1)]))
     source = str(tmp_path / "in")
-    listing([("/r/a/1", 5000, 1), ("/r/a/5", 1, 1), ("/r/a/6.no", 1, 1)]).unionByName(empty).coalesce(1).write.parquet(source)
+    first = inv.complete_listing(
+        listing(spark, [("/r/a/1", 5000, 1), ("/r/a/5", 1, 1), ("/r/a/6.no", 1, 1)]), "1", folders(spark, ["/r/c"]))
+    first.coalesce(1).write.parquet(source)
 
     def run():
-        stream = spark.readStream.schema(empty.schema).parquet(source)
+        stream = spark.readStream.schema(first.schema).parquet(source)
         stream_listings(stream, table, str(tmp_path / "check"), PathRules(exclude_types=("no",))).awaitTermination()
 
     run()
@@ -97,12 +103,78 @@ def test_listing_stream(spark, tmp_path):
     run()
     assert sorted((r.path, r.last_modified_ms) for r in table.read().collect()) == want
     table.compact()
+    table.table.vacuum()
     assert sorted((r.path, r.last_modified_ms) for r in table.read().collect()) == want
-    listing([("/r/a/1", 5000, 1)]).coalesce(1).write.mode("append").parquet(source)
+    inv.complete_listing(listing(spark, [("/r/a/1", 5000, 1)]), "2").coalesce(1).write.mode("append").parquet(source)
     run()
     assert sorted(r.path for r in table.read().collect()) == ["/r/a/1", "/r/b/3"]
 
 
+def test_a_listing_cut_over_batches_deletes_only_when_complete(spark, tmp_path):
+    table = InventoryTable(spark, str(tmp_path / "state"))
+    table.start_from(listing(spark, [("/r/a/1", 1000, 1), ("/r/a/2", 1000, 1), ("/r/a/3", 1000, 1)]))
+    whole = inv.complete_listing(listing(spark, [("/r/a/1", 1000, 1), ("/r/a/2", 9000, 1), ("/r/a/4", 1, 1)]), "7")
+
+    def paths():
+        return sorted((r.path, r.last_modified_ms) for r in table.read().collect())
+
+    def give(where, batch):
+        table.apply_listing(whole.where(where), batch, PathRules())
+
+    give("path = '/r/a/1'", 0)
+    assert len(paths()) == 3
+    give("is_dir", 1)  # the end is known before all entries
+    table.compact()
+    table.table.vacuum()
+    assert len(paths()) == 3
+    give("path = '/r/a/2'", 2)
+    give("path = '/r/a/2'", 2)
+    assert paths() == [("/r/a/1", 1000), ("/r/a/2", 9000), ("/r/a/3", 1000)]
+    # A newer listing shows another new file before the older one is complete.
+    table.apply_listing(listing(spark, [("/r/a/5", 1, 1)]).withColumn("listing", F.lit("8")), 3, PathRules())
+    give("path = '/r/a/4'", 4)
+    want = [("/r/a/1", 1000), ("/r/a/2", 9000), ("/r/a/4", 1), ("/r/a/5", 1)]
+    assert paths() == want
+    give("path = '/r/a/4'", 4)
+    table.compact()
+    give("path = '/r/a/4'", 4)
+    assert paths() == want
+
+
+def test_streams_that_take_turns_keep_their_batches(spark, tmp_path):
+    for compacting in (False, True):
+        root = tmp_path / str(compacting)
+        table = index_table(spark, root)
+
+        def run(name, rows):
+            source = str(root / name)
+            spark.createDataFrame(rows, ACTIONS).coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(ACTIONS).parquet(source)
+            stream_actions(stream, lambda df: df, table, str(root / f"check-{name}")).awaitTermination()
+            if compacting:
+                table.compact()
+                table.table.vacuum()
+
+        run("a", [(7, "INSERT", 5, 1, "seven")])
+        run("b", [(8, "INSERT", 6, 2, "eight")])
+        run("a", [(9, "INSERT", 7, 3, "nine"), (8, "UPDATE", 8, 4, "x")])
+        assert rows_of(table) == {1: (0, "old1"), 2: (0, "old2"), 7: (5, "seven"), 8: (8, "eight"), 9: (7, "nine")}
+
+
+def test_late_actions_do_the_same_after_any_compaction(spark, tmp_path):
+    rng = random.Random(5)
+    for trial in range(4):
+        actions = [(rng.randint(1, 5), rng.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"]), rng.randint(1, 30), n, f"c{n}")
+                   for n in range(40)]
+        expected = sequential({1: (0, "old1"), 2: (0, "old2")}, actions)
+        late = rng.sample(actions, len(actions))
+        table = index_table(spark, tmp_path / str(trial))
+        for batch in range(3):
+            table.write(spark.createDataFrame(late[batch::3], ACTIONS), batch)
+            table.compact()
+        assert rows_of(table) == expected
+
+
 def test_task_messages_and_rejects(spark, tmp_path):
     lines = ['{"id":"/a/","level":0}', '{"id":"/b/"', '{"level":1}', '{"id":"/c/","level":"x"}', "text"]
     (tmp_path / "in").mkdir()

@@ -110,19 +110,69 @@ def inventory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "inventory")
     state = InventoryTable(spark, f"{base}/state")
     state.start_from(_listing(spark, sf_dir, _DAY))
-    _listing(spark, sf_dir).write.parquet(f"{base}/listing")
-    before, now = state.read(), spark.read.parquet(f"{base}/listing")
-    empty = inv.gone_folders(inv.parent_folders(before), inv.parent_folders(now)).select(
-        F.col("folder").alias("path"), parent_folder("folder").alias("parent"),
-        F.lit("").alias("name"), F.lit(True).alias("is_dir"),
-        F.lit(0).cast("bigint").alias("last_modified_ms"), F.lit(0).cast("bigint").alias("size"),
-    )
-    empty.write.parquet(f"{base}/empty")
-    listing = spark.readStream.schema(now.schema).parquet(f"{base}/{{listing,empty}}")
+    return _streamed(spark, sf_dir, base, state, 1)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, base: str, state: InventoryTable, files: int) -> DataFrame:
+    """The inventory after a stream over the listing, one file of it a batch."""
+    now = _listing(spark, sf_dir)
+    # Stored folders without a file now are listed as empty ones.
+    rows = inv.complete_listing(now, "1", inv.parent_folders(state.read()))
+    rows.repartition(files).write.parquet(f"{base}/listing")
+    listing = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/listing")
     stream_listings(listing, state, f"{base}/checkpoint", _RULES).awaitTermination()
     return state.read().select("path", "last_modified_ms", "size")
 
 
+@query(_APPLIED_SQL)
+def inventory_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, every folder's listing cut over three batches."""
+    base = shared_dir(spark, "inventory")
+    state = InventoryTable(spark, f"{base}/state")
+    state.start_from(_listing(spark, sf_dir, _DAY))
+    return _streamed(spark, sf_dir, base, state, 3)
+
+
+_FOLDERS_SQL = f"""
+    SELECT path, CASE WHEN status = 'delete' AND NOT in_now AND part_key % 3 = 0 THEN 'unchanged' ELSE status END AS status
+    FROM (SELECT d.path, d.status, d.path IN (SELECT path FROM ({_CUR})) AS in_now,
+                 CAST(string_split(d.path, '/')[3] AS BIGINT) AS part_key FROM ({_DIFF_SQL}) d)"""
+
+
+@query(_FOLDERS_SQL)
+def unreadable_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third part's folder cannot be read: stored files below it are no deletes."""
+    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir).withColumn("readable", F.lit(True))
+    parts = table(spark, sf_dir, "part").where("p_partkey % 3 = 0")
+    closed = parts.select(
+        F.concat(F.lit("/part/"), F.col("p_partkey").cast("string")).alias("path"), F.lit("/part").alias("parent"),
+        F.col("p_partkey").cast("string").alias("name"), F.lit(True).alias("is_dir"),
+        F.lit(0).cast("bigint").alias("last_modified_ms"), F.lit(0).cast("bigint").alias("size"),
+        F.lit(False).alias("readable"),
+    )
+    return inv.diff(before, now.unionByName(closed), _RULES).select("path", "status")
+
+
+@query(f"""
+    SELECT DISTINCT folder FROM (
+        SELECT path[1:len(path) - len(string_split(path, '/')[-1]) - 1] AS folder FROM ({_PREV}))
+    WHERE folder NOT IN (SELECT path[1:len(path) - len(string_split(path, '/')[-1]) - 1] FROM ({_CUR}))
+      AND CAST(string_split(folder, '/')[3] AS BIGINT) % 2 = 1
+""")
+def empty_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored folders without a file now: those of even parts are listed, empty, and so are not gone."""
+    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    parts = table(spark, sf_dir, "part").where("p_partkey % 2 = 0")
+    listed = parts.select("p_partkey", F.explode(F.array(F.lit("F"), F.lit("O"))).alias("s"))
+    folders = listed.select(
+        F.concat(F.lit("/part/"), F.col("p_partkey").cast("string"), F.lit("/"), "s").alias("path"),
+        F.concat(F.lit("/part/"), F.col("p_partkey").cast("string")).alias("parent"), F.col("s").alias("name"),
+        F.lit(True).alias("is_dir"), F.lit(0).cast("bigint").alias("last_modified_ms"),
+        F.lit(0).cast("bigint").alias("size"),
+    )
+    return inv.gone_folders(inv.parent_folders(before), inv.folders_of(now.unionByName(folders)))
+
+
 @query(f"""
     SELECT path AS id, upper(status) AS action, string_split(path, '/')[-1] AS title,
            path[1:len(path) - len(string_split(path, '/')[-1]) - 1] AS parent_id, last_modified_ms, size

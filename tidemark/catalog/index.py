@@ -302,10 +302,15 @@ _ACTION_SCHEMA = T.StructType([
 _CONTENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("detail", T.StringType())])
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, runs: int) -> tuple[IndexTable, list[int]]:
+def _index_table(spark: SparkSession, sf_dir: str) -> tuple[IndexTable, str]:
     base = shared_dir(spark, "index")
     target = IndexTable(spark, f"{base}/index", _CONTENT_SCHEMA, _ORDER, _ACTION_SCHEMA)
     target.start_from(_stored(spark, sf_dir))
+    return target, base
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, runs: int) -> tuple[IndexTable, list[int]]:
+    target, base = _index_table(spark, sf_dir)
     schema = table(spark, sf_dir, "events").schema
     # Written as a pattern, the source may be one file or a folder of files.
     source = f"{sf_dir}/{{events.parquet}}"
@@ -323,6 +328,74 @@ def apply_actions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def _take_turns(spark: SparkSession, sf_dir: str, compacting: bool) -> DataFrame:
+    """Two streams over the two halves of the events; the first resumes after the second."""
+    target, base = _index_table(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    for name, third in (("a", 0), ("b", 1), ("a", 2)):
+        events.where(F.pmod("event_id", F.lit(3)) == third).write.mode("append").parquet(f"{base}/{name}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/{name}")
+        stream_actions(stream, _to_actions, target, f"{base}/checkpoint-{name}").awaitTermination()
+        if compacting:
+            target.compact()
+    return target.read()
+
+
+@query(_ACTIONS_SQL)
+def streams_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events through streams that take turns on one table."""
+    return _take_turns(spark, sf_dir, False)
+
+
+@query(_ACTIONS_SQL)
+def streams_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a compaction after every turn."""
+    return _take_turns(spark, sf_dir, True)
+
+
+@query(_ACTIONS_SQL)
+def late_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of all events, a compaction, then the earlier half."""
+    target, _ = _index_table(spark, sf_dir)
+    actions = _to_actions(table(spark, sf_dir, "events"))
+    middle = actions.agg(F.percentile_approx("modified", 0.5)).first()[0] or 0
+    target.write(actions.where(F.col("modified") >= middle), 0)
+    target.compact()
+    target.write(actions.where(F.col("modified") < middle), 1)
+    return target.read()
+
+
+@query(_ACTIONS_SQL)
+def replay_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, each written twice, the second also after a compaction."""
+    target, _ = _index_table(spark, sf_dir)
+    actions = _to_actions(table(spark, sf_dir, "events"))
+    halves = [actions.where(F.pmod("event_id", F.lit(2)) == n) for n in range(2)]
+    for batch in (0, 0, 1, 1):
+        target.write(halves[batch], batch)
+    target.compact()
+    target.write(halves[1], 1)
+    return target.read()
+
+
+@query("""
+    SELECT CASE WHEN p_type = 'PROMO' THEN 'promo' ELSE 'main' END AS index, p_partkey::VARCHAR AS filename,
+           CASE WHEN p_type <> 'SMALL' AND p_size > 10 AND p_size <= 40 THEN p_name END AS body
+    FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0
+""")
+def header_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header records after four runs: two of adds, one of deletes, one that adds some again."""
+    records = headers.HeaderTable(spark, f"{shared_dir(spark, 'headers')}/main")
+    found = _header_documents(spark, sf_dir)
+    key = F.col("id").cast("bigint")
+    adds = headers.header_records(found, "main", cap=40).withColumn("_key", F.col("filename").cast("bigint"))
+    records.append(adds.where("_key % 2 = 1"), 1)
+    records.append(adds.where("_key % 2 = 0"), 2)
+    records.append(headers.header_deletes(found.where(key % 3 == 0), "main"), 3)
+    records.append(adds.where("_key % 6 = 0"), 4)
+    return records.read().select("index", "filename", "body")
+
+
 @query("SELECT 1 AS run, count(*) AS new_actions FROM events UNION ALL SELECT 2, 0")
 def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second refresh over the same input finds nothing new."""

@@ -11,6 +11,7 @@ from ..functions import (
 )
 from ..operators import documents as docs
 from ..operators import incremental as inc
+from ..operators.index import apply_actions
 from ..plans.api_ingest import next_marks, of_classes, plan_api
 from ..session import shared_dir
 from ..sinks.output import catalogue, write_catalogue
@@ -146,10 +147,25 @@ _COMMENT_SQL = """
     FROM ({_COMMENT_SQL}) GROUP BY conv_id
 """)
 def comment_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments of each conversation; one of more than 10,000 would go on in further parts."""
+    """Comments of each conversation, all in one text."""
     return docs.comments_joined(docs.comment_rows(_comments(spark, sf_dir)))
 
 
+@query(f"""
+    SELECT c_custkey AS id, c_custkey * 1000 AS last_modified, comments FROM customer LEFT JOIN (
+        SELECT conv_id,
+               string_agg(concat_ws(' _ ', coalesce(author, 'null'), 'null', stamp, stamp, message), '|' ORDER BY turn) AS comments
+        FROM ({_COMMENT_SQL}) GROUP BY conv_id) ON conv_id = c_custkey
+""")
+def document_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their whole comment text, inserted into an empty index: a record for each."""
+    found = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("doc_id"))
+    rows = docs.attach_comments(found, docs.comments_joined(docs.comment_rows(_comments(spark, sf_dir)))).select(
+        "id", F.lit("INSERT").alias("action"), (F.col("id") * 1000).alias("modified"), "comments")
+    empty = rows.select("id", F.col("modified").alias("last_modified"), "comments").limit(0)
+    return apply_actions(empty, rows, "id", "action", "modified", ["modified"], ["comments"])
+
+
 @query(f"""
     SELECT conv_id AS doc_id, stamp AS created,
            json_object('author', author, 'authorEmail', NULL, 'createdTime', stamp, 'modifiedTime', stamp,

@@ -116,6 +116,26 @@ def fold_actions(
     )
 
 
+def still_relevant(actions: DataFrame, identifier: str, action: str, order: Sequence[str]) -> DataFrame:
+    """The actions that can still matter, whatever arrives later and however late.
+
+    Nothing at or before an id's last DELETE can take effect again, nor any but the
+    last INSERT, nor an UPDATE before it. What is left is the last DELETE, the last
+    INSERT after it and the UPDATEs after both. The marks are found from the narrow
+    columns; the wide ones meet them in one join.
+    """
+    kind, at = action_kind(action), F.struct(*order)
+    marks = actions.select(F.col(identifier).alias("_id"), kind.alias("_kind"), at.alias("_at")).groupBy("_id").agg(
+        F.max(F.when(F.col("_kind") == DELETE, F.col("_at"))).alias("_deleted"),
+        F.max(F.when(F.col("_kind") == INSERT, F.col("_at"))).alias("_inserted"),
+    )
+    joined = actions.withColumns({"_kind": kind, "_at": at}).join(marks, F.col(identifier).eqNullSafe(F.col("_id")))
+    alive = F.col("_deleted").isNull() | (F.col("_at") > F.col("_deleted"))
+    last = F.coalesce(F.col("_at") >= F.col("_inserted"), F.lit(True))
+    keep = F.when(F.col("_kind") == DELETE, F.col("_at") == F.col("_deleted")).otherwise(alive & last)
+    return joined.where(keep).select(*actions.columns)
+
+
 def apply_folded(target: DataFrame, folded: DataFrame, identifier: str, content: Sequence[str]) -> DataFrame:
     """Target rows after the folded actions: one full outer join with one row per id on each side.
 

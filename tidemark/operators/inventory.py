@@ -33,7 +33,8 @@ def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None
     newest row counts (reduced before the shuffle the join needs anyway). New files are inserts, files whose
     whole-second time moved forward are updates, stored files that vanished are
     deletes. A file the rules refuse is a reject when new and a delete when stored.
-    An entry present but unreadable is left unchanged, never deleted.
+    An entry present but unreadable is left unchanged, never deleted, and so is every
+    stored file below a listed folder that could not be read.
     """
     rules = rules or PathRules()
     flag = F.col("readable") if "readable" in current.columns else F.lit(True)
@@ -44,6 +45,13 @@ def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None
         "path", F.lit(True).alias("was"), F.col("last_modified_ms").alias("old_ms"),
         F.col("size").alias("old_size"),
     )
+    if "readable" in current.columns:
+        prev = prev.withColumn("_folder", parent_folder("path"))
+        closed = under_any(parent_folders(prev), closed_folders(current)).select(
+            F.col("folder").alias("_folder"), F.lit(True).alias("closed"))
+        prev = prev.join(closed, "_folder", "left").drop("_folder")
+    else:
+        prev = prev.withColumn("closed", F.lit(None).cast("boolean"))
     cur = newest_per_path(listed).withColumn("is_dir", F.lit(False)).select(
         "path", F.lit(True).alias("is"), rules.keeps_entry().alias("kept"), "readable",
         F.col("last_modified_ms").alias("new_ms"),
@@ -51,7 +59,7 @@ def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None
     )
     was, now = F.col("was").isNotNull(), F.col("is").isNotNull()
     status = (
-        F.when(~now, DELETE)
+        F.when(~now, F.when(F.col("closed"), UNCHANGED).otherwise(DELETE))
         .when(~F.col("readable"), F.when(was, UNCHANGED).otherwise(REJECT))
         .when(was & ~F.col("kept"), DELETE)
         .when(~F.col("kept"), REJECT)
@@ -110,13 +118,48 @@ def as_inventory(files: DataFrame) -> DataFrame:
     )
 
 
+def complete_listing(files: DataFrame, listing: str, folders: DataFrame | None = None) -> DataFrame:
+    """Files in inventory shape with their listing's id, and a folder row with the number of files.
+
+    ``folders`` adds listed folders that may hold no file.
+    """
+    names = files.columns
+    counts = files.where(~F.col("is_dir")).groupBy(F.col("parent").alias("path")).agg(F.count_distinct("path").alias("entries"))
+    if folders is not None:
+        counts = folders.select(F.col("folder").alias("path")).distinct().join(counts, "path", "full")
+    ends = counts.select(
+        "path", parent_folder("path").alias("parent"), file_name("path").alias("name"), F.lit(True).alias("is_dir"),
+        F.lit(0).cast("bigint").alias("last_modified_ms"), F.lit(0).cast("bigint").alias("size"),
+        F.coalesce("entries", F.lit(0)).cast("bigint").alias("entries"),
+    )
+    rows = files.select(*names).withColumn("entries", F.lit(None).cast("bigint"))
+    return rows.unionByName(ends, allowMissingColumns=True).withColumn("listing", F.lit(listing))
+
+
+def closed_folders(current: DataFrame) -> DataFrame:
+    """Listed folders that could not be read."""
+    if "readable" not in current.columns:
+        return current.select(F.col("path").alias("folder")).limit(0)
+    return current.where(F.col("is_dir") & ~F.coalesce("readable", F.lit(True))).select(F.col("path").alias("folder")).distinct()
+
+
+def under_any(folders: DataFrame, above: DataFrame, floor: int = 0) -> DataFrame:
+    """The folders that are one of ``above`` or lie below one: an equi-join on their own ancestors."""
+    lines = folders.select(
+        "folder", F.explode(F.concat(ancestors("folder", floor), F.array("folder"))).alias("above"))
+    return lines.join(above.select(F.col("folder").alias("above")), "above", "left_semi").select("folder").distinct()
+
+
 def folders_of(files: DataFrame, floor: int = 0) -> DataFrame:
-    """Every folder above the given files.
+    """Every listed folder, empty ones included, and every folder above the rows.
 
     Parents are made distinct first, so the ancestor lists are built per folder
     and not per file; both distincts reduce before their shuffle.
     """
     parents = parent_folders(files)
+    if "is_dir" in files.columns:
+        own = files.where("is_dir").select(F.col("path").alias("folder"))
+        parents = parents.unionByName(own).distinct()
     return (
         parents.select(F.explode(F.concat(ancestors("folder", floor), F.array("folder"))).alias("folder"))
         .distinct()
@@ -136,11 +179,17 @@ def known_folders(previous: DataFrame, current: DataFrame) -> DataFrame:
     return current.join(previous, "folder", "left_semi")
 
 
-def gone_folders(previous: DataFrame, current: DataFrame, rules: PathRules | None = None) -> DataFrame:
-    """Stored folders missing from the current listing, or refused by the rules now."""
+def gone_folders(
+    previous: DataFrame, current: DataFrame, rules: PathRules | None = None, closed: DataFrame | None = None
+) -> DataFrame:
+    """Stored folders missing from the current listing, or refused by the rules now.
+
+    Nothing is known about folders at or below a ``closed`` one; they are not gone.
+    """
     if rules is not None:
         current = current.where(rules.keeps_name("folder"))
-    return previous.join(current, "folder", "left_anti")
+    missing = previous.join(current, "folder", "left_anti")
+    return missing if closed is None else missing.join(under_any(missing, closed), "folder", "left_anti")
 
 
 def below(files: DataFrame, removed: DataFrame, floor: int = 0) -> DataFrame:
@@ -149,14 +198,7 @@ def below(files: DataFrame, removed: DataFrame, floor: int = 0) -> DataFrame:
     The ancestor test runs once per distinct parent folder; files then meet their
     own parent in an equi-join. No prefix comparison and no pairwise loop.
     """
-    parents = parent_folders(files)
-    lines = parents.select(
-        "folder", F.explode(F.concat(ancestors("folder", floor), F.array("folder"))).alias("above")
-    )
-    doomed = (
-        lines.join(removed.select(F.col("folder").alias("above")), "above", "left_semi")
-        .select("folder").distinct()
-    )
+    doomed = under_any(parent_folders(files), removed, floor)
     return files.withColumn("folder", parent_folder("path")).join(doomed, "folder", "left_semi").drop("folder")
 
 

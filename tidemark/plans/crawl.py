@@ -45,5 +45,5 @@ def plan_crawl(
         documents=documents,
         inventory=inv.as_inventory(inv.surviving(changes)),
         new_folders=inv.new_folders(before, now),
-        gone_folders=inv.gone_folders(before, now),
+        gone_folders=inv.gone_folders(before, now, closed=inv.closed_folders(listing)),
     )

@@ -39,6 +39,11 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int | None = No
     return configure(spark)
 
 
+def is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's process; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
@@ -48,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        if not root and not context.master.startswith("local"):
+        if not root and not is_local(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="tidemark-"))
     return root or context.getCheckpointDir()
@@ -57,3 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder path below the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote and nobody reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

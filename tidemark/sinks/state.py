@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 
@@ -11,16 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import MARK
+from ..session import discard
 
 _LEDGER = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("path", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
-_STREAMS = T.StructType([
-    T.StructField("checkpoint", T.StringType()),
-    T.StructField("first_batch", T.LongType()),
+    T.StructField("covered", T.MapType(T.StringType(), T.LongType())),
 ])
+#: The stream of batches that are written without one.
+DIRECT = "direct"
+
+
+def stream_key(checkpoint: str) -> str:
+    """The name under which a stream with this checkpoint writes its batches."""
+    return "s" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
@@ -67,13 +72,14 @@ def marks_from_lines(lines: DataFrame) -> DataFrame:
 
 
 class VersionedTable:
-    """A base snapshot plus the change batches written after it.
-
-    A batch costs only its own rows: it is written to a folder of its own, and
-    writing it again replaces the same folder, so a replay changes nothing.
-    Readers fold the base and the later batches; ``compact`` stores that result
-    as the next base under a new path and then records it in the ledger. No path
-    that is being read is ever overwritten.
+    """A base snapshot plus the change batches written after it, from any number of streams.
+
+    A batch costs only its own rows: it is written to a folder named by its stream
+    and its number there, so writing it again replaces the same folder and a replay
+    changes nothing, and no stream can replace or hide another one's batches.
+    ``write_base`` stores a new base, and the changes that still matter beside it,
+    under a new path, and then records it in the ledger with the last batch of each
+    stream that it covers. No path that is being read is ever overwritten.
     """
 
     def __init__(
@@ -82,59 +88,67 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self.base_schema, self.change_schema = base_schema, change_schema
 
-    def _ledger(self) -> DataFrame:
-        return _read_or_empty(self.spark, f"{self.root}/ledger", _LEDGER)
+    def _current(self) -> tuple[int, str | None, dict[str, int]]:
+        row = _read_or_empty(self.spark, f"{self.root}/ledger", _LEDGER).orderBy(F.desc("version")).first()
+        return (row.version, row.path, dict(row.covered or {})) if row else (0, None, {})
 
-    def _current(self) -> tuple[int, str | None, int]:
-        row = self._ledger().orderBy(F.desc("version")).first()
-        return (row.version, row.path, row.batch_id) if row else (0, None, -1)
+    def _logged(self) -> DataFrame:
+        schema = T.StructType([
+            *self.change_schema.fields, T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())
+        ])
+        return _read_or_empty(self.spark, f"{self.root}/changes", schema)
 
-    def snapshot(self) -> tuple[DataFrame, DataFrame]:
-        """The base and the rows of later batches (with their ``batch_id``), from one ledger entry."""
-        _, path, last = self._current()
-        base = (
-            self.spark.read.schema(self.base_schema).parquet(path) if path
-            else self.spark.createDataFrame([], self.base_schema)
-        )
-        schema = T.StructType([*self.change_schema.fields, T.StructField("batch_id", T.LongType())])
-        changes = _read_or_empty(self.spark, f"{self.root}/changes", schema)
-        return base, changes.where(F.col("batch_id") > last)
+    def snapshot(self, without: tuple[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+        """The base, and the changes kept with it or written later, from one ledger entry.
+
+        ``without`` leaves out one batch (stream, number).
+        """
+        _, path, covered = self._current()
+        later = self._logged()
+        for stream, last in covered.items():
+            later = later.where((F.col("stream") != stream) | (F.col("batch_id") > last))
+        if without is not None:
+            stream, batch_id = without
+            later = later.where((F.col("stream") != stream) | (F.col("batch_id") != batch_id))
+        later = later.select(*self.change_schema.names)
+        if path is None:
+            return self.spark.createDataFrame([], self.base_schema), later
+        base = self.spark.read.schema(self.base_schema).parquet(f"{path}/rows")
+        kept = self.spark.read.schema(self.change_schema).parquet(f"{path}/kept")
+        return base, kept.unionByName(later)
 
     def changes(self) -> DataFrame:
         return self.snapshot()[1]
 
-    def last_batch(self) -> int:
-        _, _, last = self._current()
-        newest = self.changes().agg(F.max("batch_id")).first()[0]
-        return last if newest is None else newest
+    def covers(self, stream: str, batch_id: int) -> bool:
+        """Whether the base already holds this batch."""
+        return batch_id <= self._current()[2].get(stream, -1)
 
-    def batch_offset(self, checkpoint: str) -> int:
-        """First batch id of the stream with this checkpoint.
+    def write_batch(self, rows: DataFrame, batch_id: int, stream: str = DIRECT) -> None:
+        rows.select(*self.change_schema.names).write.mode("overwrite").parquet(
+            f"{self.root}/changes/stream={stream}/batch_id={batch_id}"
+        )
 
-        A stream numbers its batches from 0. A further stream on the same table
-        starts after the batches already there, and keeps that start on restarts.
-        """
-        path = f"{self.root}/streams"
-        known = _read_or_empty(self.spark, path, _STREAMS).where(F.col("checkpoint") == checkpoint).first()
-        if known:
-            return known.first_batch
-        start = self.last_batch() + 1
-        self.spark.range(1).select(
-            F.lit(checkpoint).alias("checkpoint"), F.lit(start).cast("bigint").alias("first_batch")
-        ).coalesce(1).write.mode("append").parquet(path)
-        return start
-
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        names = self.change_schema.names
-        rows.select(*names).write.mode("overwrite").parquet(f"{self.root}/changes/batch_id={batch_id}")
-
-    def write_base(self, rows: DataFrame, batch_id: int) -> None:
-        """Store a new base that covers every batch up to ``batch_id``."""
-        version, _, _ = self._current()
+    def write_base(self, rows: DataFrame, kept: DataFrame | None = None) -> None:
+        """Store a new base for all batches there are; run it between streams, not during one."""
+        version, _, covered = self._current()
+        for r in self._logged().groupBy("stream").agg(F.max("batch_id").alias("last")).collect():
+            covered[r.stream] = max(r.last, covered.get(r.stream, -1))
         path = f"{self.root}/base/{version + 1:08d}-{uuid.uuid4().hex}"
-        rows.select(*self.base_schema.names).write.parquet(path)
-        entry = self.spark.range(1).select(
-            F.lit(version + 1).cast("bigint").alias("version"), F.lit(path).alias("path"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        kept = self.spark.createDataFrame([], self.change_schema) if kept is None else kept
+        rows.select(*self.base_schema.names).write.parquet(f"{path}/rows")
+        kept.select(*self.change_schema.names).write.parquet(f"{path}/kept")
+        self.spark.createDataFrame([(version + 1, path, covered)], _LEDGER).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/ledger"
         )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
+
+    def vacuum(self) -> None:
+        """Remove bases and batches that the newest base replaces; run it while nobody reads older ones."""
+        version, path, covered = self._current()
+        old = _read_or_empty(self.spark, f"{self.root}/ledger", _LEDGER).where(F.col("version") < version)
+        for r in old.select("path").collect():
+            discard(self.spark, r.path)
+        done = self._logged().select("stream", "batch_id").distinct().collect()
+        for r in done:
+            if r.batch_id <= covered.get(r.stream, -1):
+                discard(self.spark, f"{self.root}/changes/stream={r.stream}/batch_id={r.batch_id}")

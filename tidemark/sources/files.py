@@ -12,7 +12,13 @@ from ..operators.filters import BODY_CAP
 def list_files(
     spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True
 ) -> DataFrame:
-    """Inventory rows of the files under a folder; contents are not read."""
+    """Inventory rows of the files under a folder; contents are not read.
+
+    Spark lists the tree from the driver, gives no folder rows and fails on a folder
+    it may not read. For billions of files, empty folders or folders that cannot be
+    read, let the crawl take a listing table (path, parent, name, is_dir,
+    last_modified_ms, size and, if known, readable) that its own jobs wrote.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -26,11 +32,14 @@ def list_files(
 
 
 def read_bodies(spark: SparkSession, path: str, cap: int = BODY_CAP, glob: str | None = None) -> DataFrame:
-    """(path, length, content) of files up to the cap; the length test is pushed to the scan."""
+    """(path, length, content) of every file; beyond the cap the content is null.
+
+    The length test is pushed to the scan, so content beyond the cap is never read.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    rows = reader.load(path).where(F.col("length") <= cap)
-    return rows.select(
-        crate_path(F.regexp_replace("path", r"\Afile:/+", "/")).alias("path"), "length", "content"
-    )
+    found = reader.load(path)
+    within = found.where(F.col("length") <= cap).select("path", "length", "content")
+    beyond = found.where(F.col("length") > cap).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return within.unionByName(beyond).withColumn("path", crate_path(F.regexp_replace("path", r"\Afile:/+", "/")))

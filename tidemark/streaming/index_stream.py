@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.index import apply_actions
-from ..sinks.state import VersionedTable
+from ..operators.index import UPDATE, action_kind, apply_actions, still_relevant
+from ..sinks.state import DIRECT, VersionedTable, stream_key
 
 
 class IndexTable:
     """An index kept as a base snapshot and a log of action batches.
 
-    A micro-batch only appends its actions, keyed by its batch id, so a replayed
-    batch changes nothing and the cost follows the batch and not the index.
-    Reading folds all later actions by (time, sequence); the result is the same
-    however the rows were cut into batches.
+    A micro-batch only appends its actions, under its stream and batch number, so a
+    replayed batch changes nothing and the cost follows the batch and not the index.
+    Reading folds all actions by (time, sequence). A compacted base holds the rows
+    that no action orders, and the actions that can still matter, tombstones
+    included, so the result is the same however the rows were cut into batches and
+    streams, and wherever a compaction fell between them.
     """
 
     def __init__(
@@ -35,10 +37,10 @@ class IndexTable:
         self.table = VersionedTable(spark, root, base, action_schema)
 
     def start_from(self, rows: DataFrame) -> None:
-        self.table.write_base(rows, -1)
+        self.table.write_base(rows)
 
-    def write(self, actions: DataFrame, batch_id: int) -> None:
-        self.table.write_batch(actions, batch_id)
+    def write(self, actions: DataFrame, batch_id: int, stream: str = DIRECT) -> None:
+        self.table.write_batch(actions, batch_id, stream)
 
     def read(self) -> DataFrame:
         base, changes = self.table.snapshot()
@@ -47,8 +49,11 @@ class IndexTable:
         )
 
     def compact(self) -> None:
-        """Store the folded result as the next base; run it between streams, not during one."""
-        self.table.write_base(self.read(), self.table.last_batch())
+        """Store a shorter base; run it between streams, not during one."""
+        base, changes = self.table.snapshot()
+        kept = still_relevant(changes, self.identifier, "action", self.order)
+        replaced = kept.where(action_kind("action") != UPDATE).select(self.identifier).distinct()
+        self.table.write_base(base.join(replaced, self.identifier, "left_anti"), kept)
 
 
 def stream_actions(
@@ -57,10 +62,10 @@ def stream_actions(
 ) -> StreamingQuery:
     """Start the stream: every available row once, or on an interval when one is given."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    first = index.table.batch_offset(checkpoint)
+    stream = stream_key(checkpoint)
     return (
         to_actions(source).writeStream
-        .foreachBatch(lambda batch, batch_id: index.write(batch, first + batch_id))
+        .foreachBatch(lambda batch, batch_id: index.write(batch, batch_id, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
