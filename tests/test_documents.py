@@ -188,3 +188,10 @@ def test_class_list_and_libraries(spark, tmp_path, monkeypatch):
     assert json.loads(docs.library_json(libs).first().task)["documentTypes"]["items"][1] == {"name": "B", "value": "2"}
     monkeypatch.setattr(numbering, "PIECE", 1)
     assert [[i.name for i in r.documentTypes.items] for r in catalogue(classes).collect()] == [["A", "B"]]
+
+
+def test_landed_comment_pages_are_read(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"documentId": "1", "comments": [
+        {"createdTime": "t1", "modifiedTime": "t1", "message": "hi", "author": None}], "nextPageToken": "n"}))
+    pages = api.read_comment_pages(spark, str(tmp_path / "c.json"))
+    assert docs.comments_joined(docs.comment_rows(pages)).first().comments == "null _ null _ t1 _ t1 _ hi"

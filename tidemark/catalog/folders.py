@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parent_folder
 from ..operators import inventory as inv
 from ..operators.filters import PathRules
 from ..plans.crawl import plan_crawl

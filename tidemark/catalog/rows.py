@@ -156,11 +156,3 @@ def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ok", F.when(F.col("ok"), F.col("task.id")).alias("id"),
         F.when(F.col("ok"), F.col("task.level")).cast("bigint").alias("level"),
     )
-
-
-def single_fields(df: DataFrame, identifier: str, **columns: str) -> DataFrame:
-    """Documents with one value per named field."""
-    return df.select(
-        F.col(identifier).cast("string").alias("id"),
-        merge_entries(F.array(*[entry(name, column) for name, column in columns.items()])).alias("fields"),
-    )

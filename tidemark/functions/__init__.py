@@ -7,7 +7,7 @@ from .nested import (
     permission_tokens, reader_grants,
 )
 from .paths import (
-    ancestors, crate_path, depth, extension, facet_level, file_name, has_parent, hier_facets,
+    ancestors, crate_path, depth, extension, file_name, has_parent, hier_facets,
     level_below, normalise_root, parent_folder, slash_normalise, strip_trailing_slash,
 )
 from .values import (

@@ -47,10 +47,6 @@ def hier_facets(path: Column | str, separator: str = SLASH) -> Column:
     return F.coalesce(let(escaped, facets), no_strings())
 
 
-def facet_level(facet: Column | str) -> Column:
-    return F.substring_index(col(facet), SLASH, 1).cast("int")
-
-
 def has_parent(path: Column | str) -> Column:
     """True when a slash lies beyond the first character."""
     return F.instr(F.substr(col(path), F.lit(2)), SLASH) > 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     class_token, child_documents, comment_json, comment_text, doc_id, entry, extend_fields, folder_chain,
-    folder_path, hier_facets, merge_entries, named_categories, named_fields, no_strings,
+    folder_path, hier_facets, merge_entries, named_categories, named_fields,
     parent_folder, parse_epoch_ms, parse_size, permission_tokens, view_url, whole_number,
 )
 from ..functions.common import let
