@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontamination, piece_bpe, secret_scan, simhash, toxicity
 from tidemark.llm.common import fold, prepare
 from tidemark.llm.queries import piece_model, table
-from tidemark.session import shared_dir
+from tidemark.session import discard, shared_dir
 
 #: SQL has neither the trained classifiers nor the tokenizer.
 ORACLE_SQL = None
@@ -81,9 +81,12 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for the documents of ``sf_dir``."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, done = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         out = f"{shared_dir(spark, 'pipeline')}/{name}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if done:
+            discard(spark, done)
+        done = out
     return docs
