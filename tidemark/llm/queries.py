@@ -80,7 +80,35 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "listed", "verdict")
 
 
-@query()
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[i:i + 9], ' ') AS w
+  FROM (SELECT item, words, unnest(generate_series(1, greatest(1, len(words) - 9))) AS i FROM b WHERE len(words) > 0)),
+places AS (
+  SELECT rid, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM (SELECT rid, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i
+        FROM d JOIN (SELECT DISTINCT n FROM windows) ON len(words) >= n)),
+hits AS (SELECT rid, i, n, item FROM places JOIN windows USING (n, w)),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (rid) LEFT JOIN items t USING (rid)
+""")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of benchmark items, and the items that occur."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
