@@ -3,6 +3,8 @@
 import pytest
 
 from tidemark.catalog import QUERIES
+from tidemark.operators.incremental import between_marks
+from tidemark.operators.inventory import newest_per_path
 
 DATA = "/root/testdata/sf0.001"
 
@@ -39,3 +41,16 @@ def test_explode_does_not_compute_its_map_twice(spark):
 def test_page_is_a_top_n(spark):
     assert "TakeOrderedAndProject" in plan(spark, "first_page")
     assert "Exchange rangepartitioning" not in plan(spark, "first_page")
+
+
+def test_both_marks_of_a_batch_reach_the_scan(spark):
+    batch = between_marks(spark.read.parquet(f"{DATA}/orders.parquet"), "o_orderkey", 500, 900, ["o_orderkey", "o_orderstatus"])
+    text = batch._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderkey,500)" in text and "LessThanOrEqual(o_orderkey,900)" in text
+    assert text.count("FileScan") == 1
+
+
+def test_newest_rows_are_hashed(spark):
+    rows = spark.range(5).selectExpr("cast(id as string) path", "id last_modified_ms", "id size", "true readable")
+    text = newest_per_path(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text

@@ -28,11 +28,11 @@ def _listing(spark: SparkSession, sf_dir: str, until: str | None = None) -> Data
     lines = table(spark, sf_dir, "lineitem")
     if until:
         lines = lines.where(F.col("l_shipdate") <= F.lit(until).cast("timestamp_ntz"))
-    # Newest by time, then size (below 100), then flag. With numbers only, the
-    # aggregate stays in a hash table; with structs or texts it would sort.
+    # Newest by time, then size, then flag. With numbers only, the aggregate stays
+    # in a hash table; with structs or texts it would sort.
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     size, ms = F.col("l_quantity").cast("bigint"), epoch_ms("l_shipdate")
-    version = ms * 1000 + size * 10 + flag
+    version = inv.version(ms, size * 3 + flag)
     newest = lines.groupBy("l_partkey", "l_linestatus", "l_linenumber").agg(
         F.max(ms).alias("last_modified_ms"), F.max_by(size, version).alias("size"),
         F.max_by(flag, version).alias("flag"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
-from ..plans.table_ingest import TableSource, run_backlog, run_once
+from ..plans.table_ingest import TableSource, drain, run_backlog, run_once
 from ..session import shared_dir
 from ..sinks.state import MarkStore
 from .base import epoch_ms, query, table
@@ -150,3 +150,16 @@ def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_backlog(table(spark, sf_dir, "lineitem"), source, marks, f"{base}/out")
     written = spark.read.schema("id string").json(f"{base}/out/lines/*")
     return written.groupBy("id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("SELECT o_orderkey AS id, count(*) AS n_rows, (SELECT max(o_orderkey) FROM orders) AS hwm FROM orders GROUP BY o_orderkey")
+def drain_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in a loop of batches until an empty one, about a third of the table each."""
+    base = shared_dir(spark, "drain")
+    marks = MarkStore(spark, f"{base}/state")
+    orders = table(spark, sf_dir, "orders")
+    source = TableSource("orders", "o_orderkey", ["o_orderkey"], ["o_orderkey"], batch=orders.count() // 3 + 1)
+    drain(orders, source, marks, f"{base}/out")
+    written = spark.read.schema("id bigint").json(f"{base}/out/orders/*")
+    return written.groupBy("id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "hwm", F.lit(marks.get("orders")).cast("bigint"))

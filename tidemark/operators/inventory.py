@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import col
 from ..functions.paths import ancestors, file_name, has_parent, level_below, parent_folder
 from ..functions.values import seconds, zulu_to_ms
 from .filters import PathRules
@@ -17,13 +18,18 @@ INSERT, UPDATE, DELETE = "insert", "update", "delete"
 UNCHANGED, REJECT = "unchanged", "reject"
 
 
+def version(modified: Column | str, size: Column | str) -> Column:
+    """(modified, size) as one number of up to 38 digits: it orders like the pair and can be hashed."""
+    return col(modified).cast("decimal(19,0)") * F.lit(10**19).cast("decimal(20,0)") + col(size).cast("decimal(19,0)")
+
+
 def newest_per_path(df: DataFrame) -> DataFrame:
-    """One row per path: the newest, by (modified, size)."""
-    rest = [c for c in df.columns if c != "path"]
-    picked = F.max_by(F.struct(*rest), F.struct("last_modified_ms", "size"))
-    return df.groupBy("path").agg(picked.alias("_row")).select(
-        "path", *[F.col(f"_row.{c}").alias(c) for c in rest]
-    )
+    """One row per path: the newest, by (modified, size).
+
+    Over numbers and flags this is a hash aggregate; a struct as the order would sort every listed path.
+    """
+    order = version("last_modified_ms", "size")
+    return df.groupBy("path").agg(*[F.max_by(c, order).alias(c) for c in df.columns if c != "path"])
 
 
 def diff(previous: DataFrame, current: DataFrame, rules: PathRules | None = None) -> DataFrame:
