@@ -160,6 +160,6 @@ def drain_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     source = TableSource("orders", "o_orderkey", ["o_orderkey"], ["o_orderkey"], batch=orders.count() // 3 + 1)
     drain(orders, source, marks, f"{base}/out")
-    written = spark.read.schema("id bigint").json(f"{base}/out/orders/*")
-    return written.groupBy("id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+    written = spark.read.schema("id string").json(f"{base}/out/orders/*")
+    return written.groupBy(F.col("id").cast("bigint").alias("id")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "hwm", F.lit(marks.get("orders")).cast("bigint"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ UNCHANGED, REJECT = "unchanged", "reject"
 
 def version(modified: Column | str, size: Column | str) -> Column:
     """(modified, size) as one number of up to 38 digits: it orders like the pair and can be hashed."""
-    return col(modified).cast("decimal(19,0)") * F.lit(10**19).cast("decimal(20,0)") + col(size).cast("decimal(19,0)")
+    return col(modified).cast("decimal(19,0)") * F.lit(Decimal(10**19)) + col(size).cast("decimal(19,0)")
 
 
 def newest_per_path(df: DataFrame) -> DataFrame:
