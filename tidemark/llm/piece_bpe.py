@@ -243,7 +243,7 @@ def slices(text: str, size: int) -> Iterator[str]:
 class Encoder:
     """Encodes texts; remembers up to ``limit`` cuts."""
 
-    def __init__(self, pieces: PieceModel, limit: int = 400_000, slice_chars: int = 1_000_000) -> None:
+    def __init__(self, pieces: PieceModel, limit: int = 200_000, slice_chars: int = 500_000) -> None:
         self.pieces, self.limit, self.slice_chars = pieces, limit, slice_chars
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}

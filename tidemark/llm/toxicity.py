@@ -85,7 +85,7 @@ class ToxicModel:
     def score(self, text: bytes | None) -> float:
         if self.cut == math.inf:
             return 0.0
-        if len(self.seen) > 400_000:
+        if len(self.seen) > 100_000:
             self.seen.clear()
         seen, terms, shared = self.seen, [], Counter()
         for word in words_of(text or b""):

@@ -33,7 +33,7 @@ UNKNOWN_PENALTY = 10.0
 class UnigramCounter:
     """Counts tokens under ``(piece, score)`` pairs."""
 
-    def __init__(self, pieces: list[tuple[str, float]], limit: int = 500_000) -> None:
+    def __init__(self, pieces: list[tuple[str, float]], limit: int = 250_000) -> None:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
