@@ -160,6 +160,45 @@ def test_network_finds_bare_secrets():
     assert chances[0] > net.threshold > chances[1]
 
 
+class Marked:
+    """A network that finds the candidates with Q7xZ."""
+
+    threshold = 0.5
+
+    def probabilities(self, windows):
+        middle = slice(secret_scan.BEFORE, -secret_scan.AFTER)
+        return np.array([float("Q7xZ" in w[middle]) for w in windows])
+
+
+def test_network_sees_whole_candidates(spark):
+    path, hexes = "/".join(["some", "long", "way"] * 9), "9f3c" * 6
+    texts = [f"see {path}/Q7xZ/{path} there", "a short wQ7xZw here", f"key wwQ7xZ{hexes}vvQ7xZ end", f"key {hexes} end",
+             f"password=Q7xZ{hexes}", f"plain {path} text"]
+    found = [[(k, t[s:e]) for s, k, e in spans]
+             for t, spans in zip(texts, secret_scan.scan_texts(texts, Marked()), strict=True)]
+    assert found == [
+        [(3, f"{path}/Q7xZ/{path}")], [(3, "wQ7xZw")], [(3, "wwQ7xZ"), (2, hexes), (3, "vvQ7xZ")], [(2, hexes)],
+        [(0, texts[4]), (2, hexes)], []]
+    docs = spark.createDataFrame([(t,) for t in texts[:3]], "text string")
+    assert [r["text"] for r in secret_scan.redact(docs, Marked()).collect()] == [
+        "see [SECRET] there", "a short [SECRET] here", "key [SECRET] end"]
+    for start, end in [(0, 1), (3, 51), (0, 49), (5, 200), (0, 64)]:
+        parts = secret_scan.slices(start, end)
+        assert (parts[0][0], parts[-1][1]) == (start, end)
+        for at in range(start, end - secret_scan.HEAD + 1):
+            assert any(s <= at and at + secret_scan.HEAD <= e for s, e in parts)
+
+
+def test_labels_and_logits_of_windows():
+    text = 'password = "abcdefgh" and plain words 1234567890123456'
+    kinds = {w[secret_scan.BEFORE:].split("\0")[0]: k for w, k in secret_scan.labelled(text)}
+    assert kinds == {"abcdefgh": secret_scan.FOUND, "1234567890123456": secret_scan.DIGITS}  # the keyword is left out
+    assert [k for _, k in secret_scan.labelled("ordinary")] == [secret_scan.PLAIN]
+    codes = np.random.default_rng(6).integers(0, 128, (150, secret_scan.WIDTH))
+    net = secret_scan.CharNet.fresh()
+    assert np.abs(net.forward(codes)[0] - net.logits(codes)).max() < 1e-4
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
     net = secret_scan.CharNet.fresh(size=3, filters=4)
