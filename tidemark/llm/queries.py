@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, language_id, line_quality, piece_bpe, secret_scan, simhash, toxicity, transcripts,
-    unigram_count, url_filter,
+    ball_tree, curriculum, decontamination, language_id, line_quality, piece_bpe, secret_scan, simhash, toxicity, transcripts,
+    unigram_count, url_filter, whitening,
 )
 from .common import fold, prepare
 
@@ -261,3 +261,99 @@ def op10_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transcripts(table(spark, sf_dir, "conversations"))
     model = transcripts.train(raw.filter(fold("conv_id") != 1))
     return transcripts.parse(raw.drop("role"), model)
+
+
+#: Weight schedules of the mix, dealt to the sources in order; they weigh 3, 1 and 2 over all times.
+MIX_SCHEDULES = (((0.0, 4.5), (1.0, 1.5)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 2.0), (1.0, 2.0)))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+  FROM d GROUP BY source),
+weighed AS (
+  SELECT source, n, CASE r % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w,
+         CASE r % 3 WHEN 0 THEN 4.5 WHEN 1 THEN 0.5 ELSE 2.0 END::DOUBLE AS first,
+         CASE r % 3 WHEN 0 THEN -3.0 WHEN 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS slope,
+         1.5::DOUBLE * (SELECT sum(n) FROM s)::DOUBLE AS budget
+  FROM s),
+steps AS (
+  SELECT *, row_number() OVER w AS i,
+         (budget - 2.0::DOUBLE * coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+         / (sum(w * 1000000) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS rate
+  FROM weighed WINDOW w AS (ORDER BY 2.0 * n / w, source NULLS LAST)),
+rates AS (
+  SELECT coalesce((SELECT rate FROM steps WHERE 2.0 * n >= rate * w * 1000000 ORDER BY i LIMIT 1),
+                  'infinity'::DOUBLE) AS rate),
+targets AS (
+  SELECT source, n, w, first, slope,
+         CASE WHEN n = 0 THEN 0.0 ELSE least(2.0::DOUBLE * n::DOUBLE, (w * 1000000) * rate) END::DOUBLE AS target
+  FROM weighed, rates),
+placed AS (
+  SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS before
+  FROM d),
+mixed AS (
+  SELECT p.doc_id, p.size, t.n, t.target, t.w, t.first, t.slope, before,
+         greatest(0, least(p.size, CAST(floor(t.target + 0.5) AS BIGINT) - before)) AS once,
+         greatest(0, least(p.size, CAST(floor(t.target + 0.5) AS BIGINT) - before - t.n)) AS twice
+  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source),
+reached AS (
+  SELECT *, CASE WHEN once > 0 THEN before::DOUBLE / target * w END AS rest FROM mixed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target, CAST(once + twice AS BIGINT) AS taken,
+       CASE WHEN rest <= 0 THEN 0.0
+            ELSE 2.0::DOUBLE * rest / (first + sqrt(greatest(first * first + 2.0::DOUBLE * slope * rest, 0.0))) END::DOUBLE
+         AS position
+FROM reached
+""")
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, sorted by range of its first training position."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    planned = curriculum.in_order(curriculum.plan(docs, MIX_SCHEDULES))
+    return planned.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        curriculum.first_position(F.col("takes")).alias("position"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every usable vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors)
+
+
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS bid, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+size AS (SELECT count(*) AS n, CAST(sum(len(words)) AS BIGINT) AS l FROM d WHERE len(words) > 0),
+q AS (SELECT bid, term, count(*) AS often FROM (SELECT bid, unnest(words) AS term FROM b) GROUP BY bid, term),
+t AS (
+  SELECT rid, term, count(*) AS tf
+  FROM (SELECT rid, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * size.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM t, size GROUP BY term, size.n),
+m AS (SELECT rid, doc_id, 100 - 75 + ((75 * len(words) * size.n) // size.l) AS m FROM d, size WHERE len(words) > 0),
+scores AS (
+  SELECT bid, rid, doc_id, CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY bid, rid, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY bid ORDER BY score DESC, doc_id NULLS LAST) AS r FROM scores WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked JOIN b USING (bid) WHERE r <= 10
+""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ball_tree.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
