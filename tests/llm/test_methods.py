@@ -141,6 +141,17 @@ def test_lines_of_many_documents_go(spark):
     assert clean[99] == "few" and clean[0].startswith("own words") and clean[100].startswith("Share")
 
 
+def test_copies_of_a_page_are_documents(spark):
+    page = "One line of a page that was copied under many ids\nand another one of the same page here"
+    rows = [(i, page, "h") for i in range(40)] + [(100 + i, page, "k") for i in range(20)]
+    rows += [(200 + i, f"own words only of page number {chr(97 + i % 26)}{chr(97 + i // 26)} in a large host", "h") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in line_quality.quality_rules(docs).collect()}
+    assert all(got[i]["removed_words"] == 19 and not got[i]["kept"] for i in range(40))
+    assert all(got[100 + i]["removed_words"] == 0 and got[100 + i]["kept"] for i in range(20))
+    assert all(got[200 + i]["kept"] for i in range(600))
+
+
 def test_network_finds_bare_secrets():
     rng = random.Random(5)
     windows, labels = [], []

@@ -2,17 +2,17 @@
 
 Only DataFrame functions are used, and texts are read in one pass. Its small result
 is written once: the counts, a hash of the text, and per distinct normalised line a
-hash and its words. Lines are counted per host over different documents (exact
-copies of a text are one document); sums are formed before each shuffle, and a
-line that owns a large share of the rows arrives as one row per task.
+hash and its words. Lines are counted per host over documents, copies of a text
+included; sums are formed before the shuffle, and a line that owns a large share of the
+rows arrives as one row per task.
 
-A line is removed if more than ``max_documents`` documents of its host have it, and more
-than ``max_share`` of them. A document is depleted, and rejected, if under ``min_left``
+A line is removed if more than ``max_documents`` documents of its host have it, however
+many the host has. A document is depleted, and rejected, if under ``min_left``
 of its words or under ``min_words`` words are left.
 
 Defined results: a null text counts as empty; it has no words and fails the base
 rules. Lines without a word are no lines here. A null host is a host of its own.
-Repeated rows are judged each, alike. Columns of the input named like a result are
+Repeated rows are documents each, and are judged each, alike. Columns of the input named like a result are
 replaced, all others are kept; the text itself is left out.
 """
 
@@ -98,25 +98,23 @@ def measured(docs: DataFrame, text: str, host: str) -> DataFrame:
     )
 
 
-def frequent_lines(rows: DataFrame, max_documents: int, max_share: float) -> DataFrame:
-    """``(_host, line)`` of the lines above both limits, from rows of ``measured``."""
-    texts = rows.select("_host", "_hash").distinct().groupBy("_host").agg(F.count("_hash").alias("_texts"))
-    seen = rows.select("_host", "_hash", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["hash"]))).alias("line"))
-    counts = seen.distinct().groupBy("_host", "line").agg(F.count("_hash").alias("_n"))
-    often = counts.filter(F.col("_n") > max_documents)
-    return often.join(texts.withColumnRenamed("_host", "_h"), F.col("_host").eqNullSafe(F.col("_h"))).filter(
-        F.col("_n") > max_share * F.col("_texts")
-    ).select("_host", "line")
+def frequent_lines(rows: DataFrame, max_documents: int) -> DataFrame:
+    """``(_host, line)`` of the lines that more documents of their host have, from rows of ``measured``.
+
+    A row lists a line of its document once here, so partial counts before the shuffle are counts of documents.
+    """
+    seen = rows.select("_host", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["hash"]))).alias("line"))
+    return seen.groupBy("_host", "line").count().filter(F.col("count") > max_documents).select("_host", "line")
 
 
 def quality_rules(
-    docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = 20, max_share: float = 0.001,
+    docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = 20,
     min_left: float = 0.5, min_words: int = 10,
 ) -> DataFrame:
     """Every row's columns but the text, with the counts, ``removed_words``, ``base_failed`` and ``kept``."""
     checkpoint_root(docs.sparkSession)
     rows = measured(docs, text, host).checkpoint()
-    often = frequent_lines(rows, max_documents, max_share).withColumnsRenamed({"_host": "_h", "line": "_l"})
+    often = frequent_lines(rows, max_documents).withColumnsRenamed({"_host": "_h", "line": "_l"})
     own = rows.select("_host", "_hash", F.explode("_lines").alias("_line"))
     # The words of one document's removed lines; copies of a text on a host share the sum.
     per_line = own.groupBy("_host", "_hash", F.col("_line.hash").alias("_line_hash")).agg(
@@ -140,12 +138,12 @@ def quality_rules(
 
 
 def remove_lines(
-    docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = 20, max_share: float = 0.001,
+    docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = 20,
 ) -> DataFrame:
     """``docs`` with the lines above the limits taken out of the text."""
     checkpoint_root(docs.sparkSession)
     rows = measured(docs.select(F.col(text).alias("_t"), F.col(host).alias("_s")), "_t", "_s").checkpoint()
-    often = frequent_lines(rows, max_documents, max_share)
+    often = frequent_lines(rows, max_documents)
     own = rows.select("_host", "_hash", F.explode("_lines").alias("_line")).select("_host", "_hash", "_line.hash")
     same = F.col("_host").eqNullSafe(F.col("_h")) & (F.col("hash") == F.col("_l"))
     hit = own.join(often.withColumnsRenamed({"_host": "_h", "line": "_l"}), same).groupBy("_host", "_hash").agg(

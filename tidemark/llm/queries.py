@@ -134,19 +134,14 @@ covered AS (
   SELECT rid, sum(least(5, coalesce(following - i, 5))) AS n
   FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM twice) GROUP BY rid),
 lines AS (
-  SELECT rid, source, md5(text) AS h, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
+  SELECT rid, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
   FROM (SELECT rid, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
 normal AS (
-  SELECT rid, source, h, len(lw) AS n, regexp_replace(lower(array_to_string(lw, ' ')), '[0-9]', '0', 'g') AS line
+  SELECT rid, source, len(lw) AS n, regexp_replace(lower(array_to_string(lw, ' ')), '[0-9]', '0', 'g') AS line
   FROM lines),
-texts AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
-often AS (
-  SELECT l.source, l.line
-  FROM (SELECT source, line, count(DISTINCT h) AS n FROM normal GROUP BY source, line) l
-  JOIN texts t ON l.source IS NOT DISTINCT FROM t.source
-  WHERE l.n > 20 AND l.n > 0.001 * t.n),
+often AS (SELECT source, line FROM normal GROUP BY source, line HAVING count(DISTINCT rid) > 20),
 gone AS (
   SELECT l.rid, sum(l.n) AS n
   FROM normal l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY l.rid),
