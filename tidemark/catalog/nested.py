@@ -433,14 +433,17 @@ def library_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT c_custkey::VARCHAR AS doc_id, n_nationkey::VARCHAR AS library_id, c_mktsegment AS class_id
-    FROM ({_GEO_SQL}) WHERE r_name <> 'ASIA'
+    FROM ({_GEO_SQL}) WHERE (n_nationkey, c_mktsegment) IN (
+      SELECT c_nationkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P')
 """)
 def class_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of the classes that the catalogue lists for their library."""
+    """Documents of the classes that the catalogue lists for their library: those with an order in progress."""
     typed = docs.api_documents(_landed(spark, sf_dir))
     classed = typed.select(
         "doc_id", "library_id",
         F.filter("default_fields", lambda e: e["name"] == "classid")[0]["values"][0].alias("class_id"),
     )
-    listed = _class_rows(spark, sf_dir).where("domainName <> 'ASIA'")
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_custkey")
+    listed = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        F.col("c_nationkey").cast("string").alias("libraryId"), F.col("c_mktsegment").alias("class_id")).distinct()
     return of_classes(classed, listed).select("doc_id", "library_id", "class_id")
