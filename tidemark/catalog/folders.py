@@ -16,6 +16,7 @@ from ..operators.filters import PathRules
 from ..plans.crawl import plan_crawl
 from ..session import shared_dir
 from ..sinks.output import write_action_log
+from ..streaming.folder_state import FolderState, in_slots, slot_of
 from ..streaming.inventory_stream import InventoryTable, stream_listings
 from .base import epoch_ms, query, table
 
@@ -132,6 +133,23 @@ def inventory_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, base, state, 3)
 
 
+@query(_APPLIED_SQL)
+def inventory_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, kept in keyed state: three batches, every folder's listing cut over them, a restart in between."""
+    base = shared_dir(spark, "inventory")
+    state = FolderState(spark, f"{base}/state")
+    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    in_slots(now, "1", state.slots, inv.parent_folders(before)).withColumn("part", slot_of("path", 3)).write.partitionBy(
+        "part").parquet(f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows")
+    for parts in ([0], [1, 2]):
+        for part in parts:
+            rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/listing")
+        source = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1)
+        state.stream(source.parquet(f"{base}/listing"), _RULES, before).awaitTermination()
+    return state.read().select("path", "last_modified_ms", "size")
+
+
 _FOLDERS_SQL = f"""
     SELECT path, CASE WHEN status = 'delete' AND NOT in_now AND part_key % 3 = 0 THEN 'unchanged' ELSE status END AS status
     FROM (SELECT d.path, d.status, d.path IN (SELECT path FROM ({_CUR})) AS in_now,
