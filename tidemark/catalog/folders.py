@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import digests
 from ..operators import inventory as inv
 from ..operators.filters import PathRules
 from ..plans.crawl import plan_crawl
 from ..session import shared_dir
+from ..sinks.buckets import BucketedInventory
 from ..sinks.output import write_action_log
 from ..streaming.folder_state import FolderState, in_slots, slot_of
 from ..streaming.inventory_stream import InventoryTable, stream_listings
@@ -150,6 +152,48 @@ def inventory_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.read().select("path", "last_modified_ms", "size")
 
 
+@query(_DIFF_SQL)
+def bucketed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diff against stored files that lie in buckets: only the listing is shuffled."""
+    stored = BucketedInventory(spark, shared_dir(spark, "buckets"))
+    stored.save(_listing(spark, sf_dir, _DAY))
+    return stored.diff(_listing(spark, sf_dir), _RULES)
+
+
+@query(_APPLIED_SQL)
+def bucketed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory after two partial crawls of all folders, each of which writes its own shards alone."""
+    stored = BucketedInventory(spark, shared_dir(spark, "buckets"))
+    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    stored.save(before)
+    rows = inv.complete_listing(now, "1", inv.parent_folders(before))
+    folder = F.when(F.col("is_dir"), F.col("path")).otherwise(F.col("parent"))
+    for half in range(2):
+        stored.apply(rows.where(F.pmod(stored.shard_of(folder), F.lit(2)) == half), _RULES, partial=True)
+    return stored.read().select("path", "last_modified_ms", "size")
+
+
+@query(_DIFF_SQL)
+def digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diff with files compared only in folders whose digests differ."""
+    return digests.digest_diff(_listing(spark, sf_dir, _DAY), _listing(spark, sf_dir), _RULES)[0]
+
+
+_STATES = [
+    f"SELECT path[1:len(path) - len(string_split(path, '/')[-1]) - 1] AS folder, path, last_modified_ms // 1000 AS s, size "
+    f"FROM ({listing}) WHERE {kept}" for listing, kept in ((_PREV, "true"), (_CUR, _KEPT_SQL))]
+
+
+@query(f"""
+    SELECT DISTINCT folder FROM (
+        (({_STATES[0]}) EXCEPT ({_STATES[1]})) UNION ALL (({_STATES[1]}) EXCEPT ({_STATES[0]})))
+""")
+def changed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders whose own files differ from the stored ones, found from the roots downwards."""
+    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir).where(_RULES.keeps_entry())
+    return digests.descend(digests.own_digests(before), digests.own_digests(now)).changed
+
+
 _FOLDERS_SQL = f"""
     SELECT path, CASE WHEN status = 'delete' AND NOT in_now AND part_key % 3 = 0 THEN 'unchanged' ELSE status END AS status
     FROM (SELECT d.path, d.status, d.path IN (SELECT path FROM ({_CUR})) AS in_now,

@@ -365,6 +365,17 @@ def late_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@query(_ACTIONS_SQL)
+def index_leveled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, a quarter of the index's buckets a turn, with a compaction of the buckets touched after each."""
+    target, _ = _index_table(spark, sf_dir)
+    actions = _to_actions(table(spark, sf_dir, "events"))
+    for turn in range(4):
+        target.write(actions.where(F.pmod(target.table.bucket_of("id"), F.lit(4)) == turn), turn)
+        target.compact()
+    return target.read()
+
+
 @query(_ACTIONS_SQL)
 def replay_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, each written twice, the second also after a compaction."""

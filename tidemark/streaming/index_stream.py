@@ -26,6 +26,7 @@ class IndexTable:
     def __init__(
         self, spark: SparkSession, root: str, content: T.StructType, order: Sequence[str],
         action_schema: T.StructType, identifier: str = "id", modified: str = "modified",
+        buckets: int = 8,
     ) -> None:
         self.identifier, self.modified, self.order = identifier, modified, list(order)
         self.content = content.names
@@ -34,7 +35,7 @@ class IndexTable:
             T.StructField("last_modified", action_schema[modified].dataType),
             *content.fields,
         ])
-        self.table = VersionedTable(spark, root, base, action_schema)
+        self.table = VersionedTable(spark, root, base, action_schema, identifier, buckets)
 
     def start_from(self, rows: DataFrame) -> None:
         self.table.write_base(rows)
@@ -48,12 +49,17 @@ class IndexTable:
             base, changes, self.identifier, "action", self.modified, self.order, self.content
         )
 
-    def compact(self) -> None:
-        """Store a shorter base; run it between streams, not during one."""
-        base, changes = self.table.snapshot()
-        kept = still_relevant(changes, self.identifier, "action", self.order)
-        replaced = kept.where(action_kind("action") != UPDATE).select(self.identifier).distinct()
-        self.table.write_base(base.join(replaced, self.identifier, "left_anti"), kept)
+    def compact(self) -> list[int]:
+        """Fold the batches into the base; the buckets whose ids they touch are written anew, and returned.
+
+        Batches and compactions of other writers may come at the same time.
+        """
+        def fold(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+            kept = still_relevant(changes, self.identifier, "action", self.order)
+            replaced = kept.where(action_kind("action") != UPDATE).select(self.identifier).distinct()
+            return base.join(replaced, self.identifier, "left_anti"), kept
+
+        return self.table.rewrite(fold)
 
 
 def stream_actions(

@@ -40,7 +40,7 @@ class InventoryTable:
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.table = VersionedTable(spark, root, INVENTORY, _CHANGES)
+        self.table = VersionedTable(spark, root, INVENTORY, _CHANGES, "parent")
 
     def start_from(self, rows: DataFrame) -> None:
         self.table.write_base(rows)
@@ -50,20 +50,21 @@ class InventoryTable:
 
     def compact(self) -> None:
         """Store the files as the next base, and what open listings have shown beside it."""
-        _, log = self.table.snapshot()
-        done = log.where(F.col("status") == DONE).select(*_FOLDER).distinct()
-        self.table.write_base(self.read(), log.where(F.col("status").isin(SEEN, END)).join(done, _FOLDER, "left_anti"))
+        def fold(base: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
+            done = log.where(F.col("status") == DONE).select(*_FOLDER).distinct()
+            return _files(base, log), log.where(F.col("status").isin(SEEN, END)).join(done, _FOLDER, "left_anti")
+
+        self.table.rewrite(fold)
 
     def apply_listing(self, listing: DataFrame, batch_id: int, rules: PathRules, stream: str = DIRECT) -> None:
         """Compare the listed files with the stored ones, settle complete folders, log the changes.
 
-        Only folders of the batch are looked at: base and log are reduced to them
-        before anything is folded.
+        Only folders of the batch are looked at: of the base the files of their buckets
+        are read, and base and log are reduced to them before anything is folded.
         """
         if self.table.covers(stream, batch_id):
             return
-        base, log = self.table.snapshot(without=(stream, batch_id))
-        seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+        seq = self.table.turn()
         for name, kind in (("listing", "string"), ("entries", "bigint")):
             if name not in listing.columns:
                 listing = listing.withColumn(name, F.lit(None).cast(kind))
@@ -73,6 +74,7 @@ class InventoryTable:
         ends = listing.where(F.col("is_dir") & F.col("entries").isNotNull()).select(
             "path", F.col("path").alias("parent"), "listing", "entries")
         touched = seen.select("parent").unionByName(ends.select("parent")).distinct()
+        base, log = self.table.snapshot((stream, batch_id), self.table.touched(touched))
         log = log.join(touched, "parent", "left_semi")
         stored = _files(base.join(touched, "parent", "left_semi"), log)
 
