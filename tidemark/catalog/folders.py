@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import digests
+from ..operators import digests, intervals
 from ..operators import inventory as inv
 from ..operators.filters import PathRules
 from ..plans.crawl import plan_crawl
@@ -291,6 +291,18 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.below(before, gone).select("path")
 
 
+@query(f"""
+    SELECT DISTINCT f.path FROM ({_PREV}) f
+    JOIN ({_folders_sql(_PREV)} EXCEPT {_folders_sql(_CUR)}) g
+      ON g.folder = regexp_replace(f.path, '/[^/]*$', '') OR g.folder = regexp_replace(f.path, '/[^/]*/[^/]*$', '')
+""")
+def cascade_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored files under a vanished folder, by ranges of pre-order numbers."""
+    before = _listing(spark, sf_dir, _DAY)
+    gone = inv.gone_folders(inv.folders_of(before), inv.folders_of(_listing(spark, sf_dir)))
+    return intervals.below(before, gone).select("path")
+
+
 def _entries(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
     """One entry per part: a folder while its newest line is open, a file once it is finished."""
     lines = table(spark, sf_dir, "lineitem")
@@ -346,6 +358,23 @@ def leaf_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.leaf_folders(inv.parent_folders(_index(spark, sf_dir), "id"))
 
 
+@query(f"""
+    SELECT f.folder, (SELECT count(*) FROM ({_PARENT_SQL}) g
+                      WHERE g.folder = f.folder OR starts_with(g.folder, f.folder || '/')) AS n_folders
+    FROM ({_PARENT_SQL}) f
+""")
+def subtree_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders at and below each folder: the length of its interval."""
+    found = intervals.labels(inv.parent_folders(_index(spark, sf_dir), "id"))
+    return found.select("folder", (F.col("last") - F.col("first") + 1).alias("n_folders"))
+
+
+@query(_LEAF_SQL)
+def leaf_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders whose interval is one number."""
+    return intervals.leaves(intervals.labels(inv.parent_folders(_index(spark, sf_dir), "id")))
+
+
 @query(f"SELECT folder || '/' AS id, '{{\"id\":\"' || folder || '/\",\"level\":99}}' AS task FROM ({_LEAF_SQL})")
 def recovery_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.task_json(inv.recovery_tasks(_index(spark, sf_dir)))

@@ -163,3 +163,16 @@ def drain_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = spark.read.schema("id string").json(f"{base}/out/orders/*")
     return written.groupBy(F.col("id").cast("bigint").alias("id")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "hwm", F.lit(marks.get("orders")).cast("bigint"))
+
+
+@query("""
+    SELECT l_orderkey, count(*) AS n_rows FROM lineitem
+    WHERE l_orderkey <= (SELECT max(k) FROM (
+        SELECT l_orderkey AS k FROM lineitem ORDER BY k LIMIT (SELECT count(*) // 3 + 1 FROM lineitem)))
+    GROUP BY l_orderkey
+""")
+def third_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of a third of all line items, cut exactly without sorting them."""
+    lines = table(spark, sf_dir, "lineitem")
+    batch = inc.next_batch(lines, "l_orderkey", 0, lines.count() // 3 + 1, ["l_orderkey"])
+    return batch.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_rows"))

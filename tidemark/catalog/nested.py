@@ -9,9 +9,11 @@ from ..functions import (
     category_nodes, category_values as flatten_categories, folder_chain as chain, folder_path,
     normalise_root, permission_tokens as tokens,
 )
+from ..operators import chains
 from ..operators import documents as docs
 from ..operators import incremental as inc
 from ..operators.index import apply_actions
+from ..operators.numbering import row_number
 from ..plans.api_ingest import next_marks, of_classes, plan_api
 from ..session import shared_dir
 from ..sinks.output import catalogue, write_catalogue
@@ -447,3 +449,29 @@ def class_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
         F.col("c_nationkey").cast("string").alias("libraryId"), F.col("c_mktsegment").alias("class_id")).distinct()
     return of_classes(classed, listed).select("doc_id", "library_id", "class_id")
+
+
+_CHAIN_SQL = """
+    WITH RECURSIVE e AS (
+        SELECT event_id AS id, event_type AS name,
+               lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS parent FROM events),
+    nodes AS (SELECT * FROM e WHERE name <> 'error'),
+    walk AS (
+        SELECT id, id AS root, 0::BIGINT AS depth, name AS path,
+               CASE WHEN parent IS NULL THEN 'whole' ELSE 'orphan' END AS status
+        FROM nodes WHERE parent IS NULL OR parent NOT IN (SELECT id FROM nodes)
+        UNION ALL
+        SELECT n.id, w.root, w.depth + 1, w.path || '/' || n.name, w.status FROM nodes n JOIN walk w ON n.parent = w.id)
+    SELECT * FROM walk
+"""
+
+
+@query(_CHAIN_SQL)
+def event_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event below the one before it of its user, with its full path; errors are missing, what follows one is an orphan."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts")
+    numbered = row_number(events, ["user_id"], ["ts", "event_id"], "n")
+    earlier = numbered.select("user_id", (F.col("n") + 1).alias("n"), F.col("event_id").alias("before"))
+    nodes = numbered.where("event_type <> 'error'").join(earlier, ["user_id", "n"], "left")
+    found = chains.chains(nodes, "event_id", "before", "event_type")
+    return found.select("id", "root", "depth", F.array_join("path", "/").alias("path"), "status")

@@ -11,6 +11,8 @@ from .numbering import rows_before
 
 DEFAULT_BATCH = 1000
 PAGE_SIZE = 25
+#: Rows that one task may sort for a cut, and quantiles drawn from a range in one round.
+TOP, GRID = 10_000, 200
 
 
 def batch_size(value: object) -> int:
@@ -42,23 +44,62 @@ def next_batch(
 
     Cutting between equal marks would lose the rest of them under the strict
     comparison of the next read. The cut-off is a top-N over one column, inside
-    the batch's own plan; ``batch_cut`` gives it as a number instead.
+    the batch's own plan; beyond ``TOP`` rows it is worked out by ``batch_cut`` first.
     """
     rows = past_mark(df, mark_column, mark, where=where).where(F.col(mark_column).isNotNull())
-    batch = rows.where(F.col(mark_column) <= _cut(rows, mark_column, size).scalar())
+    if batch_size(size) > TOP:
+        batch = rows.where(F.col(mark_column) <= F.lit(batch_cut(df, mark_column, mark, size, where)))
+    else:
+        batch = rows.where(F.col(mark_column) <= _top(rows, mark_column, batch_size(size)).scalar())
     return batch.select(*columns) if columns else batch
 
 
-def _cut(rows: DataFrame, mark_column: str, size: object) -> DataFrame:
-    return rows.select(mark_column).orderBy(mark_column).limit(batch_size(size)).agg(F.max(mark_column).alias("cut"))
+def _top(rows: DataFrame, mark_column: str, n: int) -> DataFrame:
+    return rows.select(mark_column).orderBy(mark_column).limit(n).agg(F.max(mark_column).alias("cut"))
+
+
+def _nth(rows: DataFrame, mark_column: str, n: int) -> object:
+    """The n-th smallest mark, or the largest of fewer: a range that holds it, cut down by sketches.
+
+    A round draws quantiles of the range by a mergeable sketch, counts exactly up to
+    the two around the rank, and goes on between them; the range loses most of its rows each
+    time. Only a range of ``TOP`` rows or fewer is sorted. Marks are whole numbers, as the
+    columns of ``MarkStore`` are.
+    """
+    mark = F.col(mark_column)
+    places = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    while True:
+        count, least, most = rows.agg(F.count(mark), F.min(mark), F.max(mark)).first()
+        if n >= count or least == most:
+            return most
+        if count <= TOP:
+            return _top(rows, mark_column, n).first()["cut"]
+        # The sketch works on doubles: distances from the least mark keep their digits as ranges get narrow.
+        grid = rows.agg(F.percentile_approx((mark - F.lit(least)).cast("double"), places, 20 * GRID)).first()[0]
+        at = int(n * GRID / count)
+        low, high = (least + type(least)(grid[i]) for i in (max(0, at - 1), min(GRID, at + 2)))
+        if low >= most:
+            low, high = least + type(least)((most - least) / 2), most
+        up_to_low, up_to_high = rows.agg(F.count_if(mark <= F.lit(low)), F.count_if(mark <= F.lit(high))).first()
+        if up_to_low >= n:
+            rows = rows.where(mark <= F.lit(low))
+        elif up_to_high < n:
+            rows, n = rows.where(mark > F.lit(high)), n - up_to_high
+        else:
+            rows, n = rows.where((mark > F.lit(low)) & (mark <= F.lit(high))), n - up_to_low
 
 
 def batch_cut(
     df: DataFrame, mark_column: str, mark: int, size: object = DEFAULT_BATCH, where: str | Column | None = None
 ) -> object:
-    """The largest mark of the next batch, None if there is no row: one job over one column."""
+    """The largest mark of the next batch, None if there is no row: jobs over one column.
+
+    Up to ``TOP`` rows this is one top-N; a larger batch, which may be a third of the
+    table, is cut by sketches and exact counts.
+    """
     rows = past_mark(df, mark_column, mark, where=where).where(F.col(mark_column).isNotNull())
-    return _cut(rows, mark_column, size).first()["cut"]
+    n = batch_size(size)
+    return _top(rows, mark_column, n).first()["cut"] if n <= TOP else _nth(rows, mark_column, n)
 
 
 def between_marks(
