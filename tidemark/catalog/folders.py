@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import digests, intervals
+from ..operators import digests, intervals, recovery
 from ..operators import inventory as inv
 from ..operators.filters import PathRules
 from ..plans.crawl import plan_crawl
@@ -394,6 +394,34 @@ def recovery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.recovery_rows(index)
 
 
+_INDEX_DAY = "1998-06-01"
+
+
+@query(f"""
+    SELECT path, kind, CASE WHEN kind IN ('lost', 'new') THEN 'INSERT' WHEN kind = 'stale' THEN 'UPDATE'
+                            WHEN kind = 'ghost' THEN 'DELETE' END AS action, last_modified_ms, size
+    FROM (
+        SELECT coalesce(l.path, s.path, i.path) AS path,
+               CASE WHEN l.path IS NOT NULL AND i.path IS NULL AND s.path IS NOT NULL THEN 'lost'
+                    WHEN l.path IS NOT NULL AND i.path IS NULL THEN 'new'
+                    WHEN l.path IS NOT NULL AND i.last_modified_ms // 1000 < l.last_modified_ms // 1000 THEN 'stale'
+                    WHEN l.path IS NOT NULL AND s.path IS NOT NULL AND s.size = l.size
+                         AND s.last_modified_ms // 1000 = l.last_modified_ms // 1000 THEN 'agreed'
+                    WHEN l.path IS NOT NULL THEN 'unstored' WHEN i.path IS NOT NULL THEN 'ghost'
+                    ELSE 'forgotten' END AS kind,
+               coalesce(l.last_modified_ms, s.last_modified_ms, i.last_modified_ms) AS last_modified_ms,
+               coalesce(l.size, s.size, 0) AS size
+        FROM (SELECT * FROM ({_CUR}) WHERE {_KEPT_SQL}) l
+        FULL JOIN ({_PREV}) s ON l.path = s.path
+        FULL JOIN ({_listing_sql(_INDEX_DAY)}) i ON coalesce(l.path, s.path) = i.path)
+""")
+def recovery_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of one day, the inventory of another and today's listing, with the way in which they disagree."""
+    exported = _listing(spark, sf_dir, _INDEX_DAY).select(F.col("path").alias("id"), "last_modified_ms")
+    found = recovery.reconcile(exported, _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir), _RULES)
+    return found.merged.drop("listed")
+
+
 @query(f"""
     SELECT folder || '/' AS id, len(string_split(folder, '/')) - 2 AS level FROM ({_folders_sql(_CUR)})
 """)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import entry, export_mime as as_export, final_mime, is_native, merge_entries
 from ..operators import documents as docs
 from ..operators import headers, index, mapping
-from ..plans.stages import Stage, run_stages, terminate
+from ..plans.stages import Stage, load_stages, run_stages, terminate
 from ..session import shared_dir
 from ..streaming.index_stream import IndexTable, stream_actions
 from .base import query, table
@@ -123,6 +123,16 @@ def field_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir)
 
 
+@query(_MAPPED_SQL)
+def mapping_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from long rows and a mapping that is a table, dynamic prefixes included."""
+    known = mapping.FieldMapping.of(_ENTRIES)
+    targets = spark.createDataFrame(
+        [(s, t, t in known.multi) for s, t in known.targets.items()], "source string, target string, multi boolean")
+    prefixes = spark.createDataFrame([(p,) for p in known.prefixes], "prefix string")
+    return mapping.map_table(docs.to_long(_part_documents(spark, sf_dir)), targets, prefixes)
+
+
 @query(f"SELECT * FROM ({_MAPPED_SQL}) WHERE field LIKE 'PID\\_%' ESCAPE '\\' OR field LIKE '\\_hier\\_%' ESCAPE '\\'")
 def dynamic_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.col("field")
@@ -447,6 +457,14 @@ def _split_lines(df: DataFrame, settings: dict) -> DataFrame:
     )
 
 
+_STAGES = """{"stages": [
+    {"stage": "drop", "settings": {"field": "storage_account"}},
+    {"stage": "facets", "priority": 2, "settings": {"names": "path"}},
+    {"stage": "children", "priority": 1, "settings": {"separator": " -_ "}},
+    {"stage": "constant", "priority": 2, "settings": {"site": "fixed"}}
+]}"""
+
+
 @query("""
     WITH d AS (
         SELECT doc_id::VARCHAR AS root, text, lang, CASE WHEN lang = 'de' THEN 'DELETE' ELSE 'INSERT' END AS action,
@@ -461,20 +479,22 @@ def _split_lines(df: DataFrame, settings: dict) -> DataFrame:
     FROM c JOIN d ON c.root = d.root
 """)
 def stage_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents through four stages; deletes pass around the stages that do not handle them."""
+    """Documents through the four stages of a configuration file; deletes pass around stages that do not handle them."""
     fields = F.array(entry("path", "source"), entry("storage_account", F.lit("secret")))
     made = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), "text",
         F.when(F.col("lang") == "de", "DELETE").otherwise("INSERT").alias("action"),
         merge_entries(fields).alias("fields"),
     )
-    stages = [
-        Stage("drop", lambda df, s: docs.drop_field(df, s["field"]), None, {"field": "storage_account"}, True),
-        Stage("facets", lambda df, s: docs.add_hier_fields(df, s["names"]), 2, {"names": "path"}),
-        Stage("children", _split_lines, 1, {"separator": " -_ "}),
-        Stage("constant", lambda df, s: docs.add_constants(df, s), 2, {"site": "fixed"}),
+    known = [
+        Stage("drop", lambda df, s: docs.drop_field(df, s["field"]), handles_deletes=True),
+        Stage("facets", lambda df, s: docs.add_hier_fields(df, s["names"])),
+        Stage("children", _split_lines, settings={"separator": ":"}),
+        Stage("constant", lambda df, s: docs.add_constants(df, s)),
     ]
-    done = run_stages(made, stages)
+    path = f"{shared_dir(spark, 'stages')}/stages"
+    spark.createDataFrame([(_STAGES,)], "value string").write.text(path)
+    done = run_stages(made, load_stages(spark, path, {s.name: s for s in known}))
     pick: dict[str, Column] = {
         "facet": docs.first_value("fields", "_hier_path"), "site": docs.first_value("fields", "site"),
     }

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from ..functions import doc_id, entry, merge_entries
 from ..operators import documents as docs
 from ..operators.incremental import null_key_count
+from ..operators.incremental import usable_keys as drop_null_keys
 from ..session import shared_dir
 from ..sinks.output import write_documents, write_ids
 from ..sources.files import list_files, read_bodies
 from ..sources.messages import parse_tasks
+from ..streaming.attempts import OUTCOMES, stream_attempts
 from .base import query, table
 
 
@@ -156,3 +158,42 @@ def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ok", F.when(F.col("ok"), F.col("task.id")).alias("id"),
         F.when(F.col("ok"), F.col("task.level")).cast("bigint").alias("level"),
     )
+
+
+@query("""
+    WITH e AS (
+        SELECT user_id::VARCHAR AS id, event_id AS seq, event_type = 'signup' AS ok, event_type AS value,
+               row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS attempt FROM events),
+    good AS (SELECT id, min(attempt) FILTER (WHERE ok) AS n FROM e GROUP BY id)
+    SELECT id, seq, attempt, CASE WHEN ok THEN 'done' WHEN attempt = 5 THEN 'dead' ELSE 'retry' END AS outcome, value
+    FROM e JOIN good USING (id) WHERE attempt <= least(coalesce(n, 5), 5)
+""")
+def message_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as attempts at a message for each user: three batches, a restart in between, dead after five failures."""
+    base = shared_dir(spark, "attempts")
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("id"), F.col("event_id").alias("seq"),
+        (F.col("event_type") == "signup").alias("ok"), F.col("event_type").alias("value"))
+    thirds = events.agg(F.percentile_approx("seq", F.array(F.lit(1 / 3), F.lit(2 / 3)))).first()[0]
+    bounds = [None, *(thirds or []), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = events
+        if low is not None:
+            part = part.where(F.col("seq") > low)
+        if high is not None:
+            part = part.where(F.col("seq") <= high)
+        part.write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        stream_attempts(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(OUTCOMES).parquet(f"{base}/out")
+
+
+@query("""
+    SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    WHERE l.quality IS NOT NULL OR l.toxic IS NOT NULL
+""")
+def usable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents; rows whose key parts are all null go."""
+    joined = table(spark, sf_dir, "documents").select("doc_id").join(
+        table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    return drop_null_keys(joined, ["quality", "toxic"])

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.common import let, no_strings
@@ -177,3 +178,65 @@ def map_long(long: DataFrame, mapping: DataFrame) -> DataFrame:
     return joined.withColumn("target", F.when(hier, F.col("field")).otherwise(F.col("target"))).withColumn(
         "multi", hier | F.coalesce("multi", F.lit(False))
     )
+
+
+def _known_fields(names: DataFrame, targets: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``(field, target, multi, dynamic)`` of the distinct field names that are mapped or have a dynamic prefix.
+
+    A name meets the prefixes by equality, once for every length a prefix has.
+    """
+    hier = F.col("field").startswith(HIER_PREFIX)
+    lengths = sorted(r[0] for r in prefixes.where("prefix is not null").select(F.length("prefix")).distinct().collect())
+    cuts = F.array(*[F.substring("field", 1, n) for n in lengths]).cast("array<string>")
+    dynamic = names.select("field", F.explode(cuts).alias("prefix")).join(
+        prefixes.select("prefix").distinct(), "prefix", "left_semi").select(F.col("field").alias("_dynamic")).distinct()
+    # One target per source; targets that any entry calls multi-valued are so for all.
+    by_source = targets.where("source is not null and target is not null").groupBy(
+        F.col("source").alias("_source")).agg(F.min("target").alias("target"))
+    many = targets.where("multi").select(F.col("target").alias("_many")).distinct()
+    joined = names.join(by_source, F.col("field") == F.col("_source"), "left").join(
+        dynamic, F.col("field") == F.col("_dynamic"), "left")
+    joined = joined.withColumn("target", F.when(hier, F.col("field")).otherwise(F.col("target")))
+    return joined.join(many, F.col("target") == F.col("_many"), "left").select(
+        "field", "target", (hier | F.col("_many").isNotNull()).alias("multi"), F.col("_dynamic").isNotNull().alias("dynamic"),
+    ).where("target is not null or dynamic")
+
+
+def map_table(
+    long: DataFrame, targets: DataFrame, prefixes: DataFrame, identifier: str = "id", taken: Iterable[str] = CORE_TARGETS,
+) -> DataFrame:
+    """``map_fields`` over long rows (id, field, pos, value) and a mapping that is a table of any size.
+
+    ``targets`` has ``source``, ``target`` and ``multi``, ``prefixes`` has ``prefix``. Distinct
+    names meet the mapping once; which field a document sends where is worked out from
+    its field names, and its values follow in a join on (id, field). The result has
+    the same columns; positions count from 0 within an index field.
+    """
+    reserved = F.array(*[F.lit(t) for t in taken]).cast("array<string>")
+    kind = "array<struct<field:string,to:string,mapped:boolean,multi:boolean>>"
+    filled = long.where(F.col("value").isNotNull()).select(F.col(identifier).alias("_id"), "field", "pos", "value")
+    own = filled.select("_id", "field").distinct()
+    known = _known_fields(own.select("field").distinct(), targets, prefixes)
+
+    def sent(done: Column, item: Column) -> Column:
+        def add(to: Column, mapped: bool) -> Column:
+            return F.concat(done, F.array(F.struct(
+                item["field"].alias("field"), to.alias("to"), F.lit(mapped).alias("mapped"), item["multi"].alias("multi"))))
+
+        free = ~F.array_contains(reserved, item["field"]) & ~F.exists(done, lambda d: d["to"] == item["field"])
+        return F.when(item["target"].isNotNull() & free, add(item["target"], True)).when(
+            item["dynamic"], add(item["field"], False)).otherwise(done)
+
+    # In name order, as the first column of the struct.
+    items = F.array_sort(F.collect_list(F.struct("field", "target", "multi", "dynamic")))
+    plan = own.join(known, "field").groupBy("_id").agg(items.alias("items")).select(
+        "_id", F.inline(F.aggregate("items", F.array().cast(kind), sent)))
+    values = filled.join(plan, ["_id", "field"])
+    joins = F.col("mapped") & ~F.col("multi")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"])
+    one = values.where(joins).groupBy("_id", "to", "field").agg(F.array_join(texts, ",").alias("value")).withColumn("pos", F.lit(0))
+    names = ["_id", "to", "field", "pos", "value"]
+    every = values.where(~joins).select(names).unionByName(one.select(names))
+    place = F.row_number().over(W.partitionBy("_id", "to").orderBy("field", "pos", "value"))
+    return every.select(
+        F.col("_id").alias(identifier), F.col("to").alias("field"), (place - 1).cast("bigint").alias("pos"), "value")

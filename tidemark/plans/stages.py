@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Processor = Callable[[DataFrame, Mapping[str, str]], DataFrame]
 Terminator = Callable[[DataFrame, Mapping[str, str]], DataFrame]
@@ -29,6 +30,29 @@ class Stage:
     handles_deletes: bool = False
 
 
+CONFIG = T.StructType([T.StructField("stages", T.ArrayType(T.StructType([
+    T.StructField("stage", T.StringType()), T.StructField("priority", T.IntegerType()),
+    T.StructField("settings", T.MapType(T.StringType(), T.StringType()))])))])
+
+
+def load_stages(spark: SparkSession, path: str, known: Mapping[str, Stage]) -> list[Stage]:
+    """The stages that a JSON file lists: ``{"stages": [{"stage", "priority", "settings"}, …]}``.
+
+    ``known`` has the processors by name; the file's settings go over the processor's
+    own, a priority that the file lacks stays open. A stage may be listed twice.
+    Unknown names, and files that are no such JSON, are refused.
+    """
+    rows = spark.read.schema(CONFIG).option("multiLine", True).option("mode", "FAILFAST").json(path).collect()
+    listed = [entry for row in rows for entry in row["stages"] or []]
+    unknown = sorted({str(e["stage"]) for e in listed} - set(known))
+    if unknown:
+        raise ValueError(f"no processor for {', '.join(unknown)}")
+    return [
+        replace(known[e["stage"]], priority=e["priority"], settings={**known[e["stage"]].settings, **(e["settings"] or {})})
+        for e in listed
+    ]
+
+
 def ordered(stages: Sequence[Stage]) -> list[Stage]:
     """By priority, then list position; stages without a priority come last."""
     return sorted(stages, key=lambda s: (s.priority is None, s.priority or 0))
