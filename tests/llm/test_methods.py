@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, line_quality, piece_bpe, secret_scan, simhash, toxicity, url_filter
+from tidemark.llm import decontamination, line_quality, piece_bpe, secret_scan, simhash, toxicity, transcripts, url_filter
 from tidemark.llm import queries as q
 from tidemark.llm.components import components
 
@@ -152,6 +152,26 @@ def test_copies_of_a_page_are_documents(spark):
     assert all(got[200 + i]["kept"] for i in range(600))
 
 
+def test_one_transcript_of_many_long_rows(spark):
+    raw = q.raw_transcripts(q.table(spark, "/root/testdata/sf0.001", "conversations"))
+    model = transcripts.train(raw)
+    names = ["User: ", "Assistant: ", "", "System: "]
+    rows = [("one", i, names[i % 4] + f"row {i} " * (1 if i % 5 else 2_000) + ("?" if i % 3 else "\nmore\n")) for i in range(300)]
+    rows += [(None, 1, None), (None, 2, "Human: hi"), ("two", 1, "x" * 300_000)]
+    df = spark.createDataFrame(rows, "conv_id string, seq long, text string")
+
+    def whole(**options):
+        parts = sorted((str(r["conv_id"]), r["turn"], r["part"], r["role"], r["rendered"]) for r in transcripts.parse(df, model, **options).collect())
+        texts = {}
+        for conv, _, _, _, rendered in parts:
+            texts[conv] = texts.get(conv, "") + rendered
+        return texts, {(c, t, role) for c, t, _, role, _ in parts}
+
+    want = whole(chunk_rows=10**9)
+    assert set(want[0]) == {"one", "two", "None"}
+    assert whole(chunk_rows=3, fan=4) == want and whole(chunk_rows=16) == want
+
+
 def test_network_finds_bare_secrets():
     rng = random.Random(5)
     windows, labels = [], []

@@ -1,6 +1,7 @@
 """The registered queries against SQL or brute force over whole tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import tokenizers
 import xxhash
 
 import corpus_pipeline
-from tidemark.llm import decontamination, piece_bpe, secret_scan, simhash, toxicity, transcripts
+from tidemark.llm import decontamination, language_id, piece_bpe, secret_scan, simhash, toxicity, transcripts
 from tidemark.llm import queries as q
 
 from .conftest import MIDDLE, SMALL, ascii_lower
@@ -180,6 +181,122 @@ def test_transcripts(spark):
 
     assert whole(run(spark, "op10_transcripts").collect()) == want
     assert whole(transcripts.parse(raw.drop("role"), model, chunk_rows=1).collect()) == want
+    assert whole(transcripts.parse(raw.drop("role"), model, chunk_rows=1, fan=2).collect()) == want
+
+
+MARKERS = {"system": 0, "instructions": 0, "context": 0, "user": 1, "human": 1, "customer": 1, "question": 1, "prompt": 1,
+           "q": 1, "assistant": 2, "ai": 2, "bot": 2, "answer": 2, "response": 2, "model": 2, "a": 2}
+
+
+def marker(line):
+    """(role, end) of a speaker marker that opens the line, told without the operator's own pattern."""
+    at = 0
+    while at < min(6, len(line)) and not (line[at].isalnum() or line[at] == "_"):
+        at += 1
+    for word in sorted(MARKERS, key=len, reverse=True):
+        for begin in range(at, -1, -1):
+            if line[begin:begin + len(word)].lower() != word or begin != at:
+                continue
+            end = begin + len(word)
+            for gap in range(4):
+                between = line[end:end + gap]
+                if len(between) < gap or any(c.isalnum() or c == "_" for c in between):
+                    break
+                stop = end + gap
+                if stop == len(line) or line[stop] in ":]>|" or (stop == len(line) - 1 and line[stop] == "\n"):
+                    stop += stop < len(line) and line[stop] in ":]>|"
+                    while stop < len(line) and (line[stop].isspace() or line[stop] in "*_"):
+                        stop += 1
+                    return MARKERS[word], stop
+    return None
+
+
+def best_states(lines, model):
+    """Viterbi over all lines at once, in plain numbers."""
+    def shown(line, state):
+        role = marker(line)
+        kind = 0 if not line.strip() else 1 if role is None else 2 + role[0]
+        asks = int(bool(line.strip()) and line.rstrip().endswith("?"))
+        size = min(4, len(line).bit_length() // 2) if line.strip() else 0
+        return sum(float(t[state, x]) for t, x in zip(model.shows, (kind, asks, size)))
+
+    best = [float(model.start[s]) + shown(lines[0], s) for s in range(9)]
+    backs = []
+    for line in lines[1:]:
+        reached = [[best[a] + float(model.step[a, b]) for a in range(9)] for b in range(9)]
+        backs.append([max(range(9), key=lambda a, r=r: (r[a], -a)) for r in reached])
+        best = [max(r) + shown(line, b) for b, r in enumerate(reached)]
+    states = [max(range(9), key=lambda s: (best[s], -s))]
+    for back in reversed(backs):
+        states.append(back[states[-1]])
+    return states[::-1]
+
+
+def rendered(lines, states):
+    """Canonical turns of lines with known states."""
+    starts = [0, *[i for i in range(1, len(lines)) if states[i] % 3 == 0], len(lines)]
+    out = []
+    for a, b in zip(starts, starts[1:]):
+        role, mine = states[a] // 3, lines[a:b]
+        found = marker(mine[0]) if states[a] % 3 == 0 else None
+        if found and found[0] == role:
+            mine = [mine[0][found[1]:], *mine[1:]]
+        text = "\n".join(mine)
+        opened = f"<|{('system', 'user', 'assistant')[role]}|>\n" if states[a] % 3 == 0 else "\n"
+        out.append(opened + (text.strip() if states[a] % 3 == 0 else text.rstrip()) + "\n<|end|>\n")
+    return "".join(out)
+
+
+def test_transcripts_by_a_viterbi_of_its_own(spark):
+    raw = q.raw_transcripts(q.table(spark, SMALL, "conversations"))
+    model = transcripts.train(raw.filter(q.fold("conv_id") != 1))
+    turns = defaultdict(list)
+    for r in raw.collect():
+        turns[r["conv_id"]].append((r["seq"], r["text"]))
+    want = {}
+    for conv, mine in turns.items():
+        lines = "\n".join(t for _, t in sorted(mine)).split("\n")
+        want[conv] = rendered(lines, best_states(lines, model))
+    parts = defaultdict(list)
+    for r in transcripts.parse(raw.drop("role"), model, chunk_rows=2, fan=2).collect():
+        parts[r["conv_id"]].append((r["turn"], r["part"], r["rendered"]))
+    assert {c: "".join(p[2] for p in sorted(v)) for c, v in parts.items()} == want
+
+
+def test_language_by_exact_sets(spark, texts):
+    """Every document again with exact sets of n-grams in place of the filters."""
+    docs = q.table(spark, MIDDLE, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(q.fold("doc_id") != 1))
+    got = {r["doc_id"]: r for r in run(spark, "op4_language_id").collect()}
+    truth = dict(docs.select("doc_id", "lang").collect())
+    sets = defaultdict(Counter)
+    for doc, text in texts:
+        if truth[doc] is not None and zlib.crc32(str(doc).encode()) % 3 != 1:
+            folded = " ".join(re.findall(r"[^\W\d_]+", (text or "").lower()))
+            sets[truth[doc]].update({folded[i:i + 3] for i in range(len(folded) - 2)})
+    agree = 0
+    for doc, text in texts:
+        folded = " ".join(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        if not folded:
+            assert got[doc]["lang_pred"] == "und"
+            continue
+        grams = [folded[i:i + 3] for i in range(len(folded) - 2)]
+        votes = {lang: sum(g in known for g in grams) for lang, known in sets.items()}
+        agree += got[doc]["lang_pred"] in [k for k, v in votes.items() if v == max(votes.values())]
+    assert agree >= 0.98 * len(texts) and set(model.languages) == set(sets)
+
+
+def test_toxicity_scores_by_hand(spark, texts):
+    """Every score again from the model's weights, a feature at a time."""
+    docs, labels = (q.table(spark, MIDDLE, t) for t in ("documents", "labels"))
+    model = toxicity.train(docs.filter(q.fold("doc_id") != 1), labels.filter(q.fold("doc_id") != 1))
+    got = {r["doc_id"]: r for r in run(spark, "op5_toxicity").collect()}
+    for doc, text in texts:
+        z = math.log(0.7 / 0.3) - model.cut + math.fsum(
+            model.weights.get(int(f), 0.0) for f in toxicity.features((text or "").encode()))
+        assert got[doc]["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)
+        assert got[doc]["held_out"] == (zlib.crc32(str(doc).encode()) % 3 == 1)
+        assert got[doc]["predicted"] == (got[doc]["score"] >= 0.7)
 
 
 def test_pipeline(spark):

@@ -7,10 +7,10 @@ whose, whether it asks, and how long it is. Start, transition and line probabili
 counted from transcripts with known roles (``train``), with one added to each count.
 
 Decoding is Viterbi in chunks, so a transcript that holds a third of all rows is not
-one task's work: rows are numbered in slices, each chunk of ``chunk_rows`` rows gives a
-table of the best scores from its first line's state to that of the next chunk's first
-line, one pass over these small tables fixes the states at the seams, and each chunk is
-then decoded alone. Of equal paths the one with the lower state number wins.
+one task's work: rows are numbered in slices, each chunk of up to ``chunk_rows`` rows or
+KiB gives a table of the best scores from its first line's state to that of the next
+chunk's first line, passes over these small tables fix the states at the seams, in
+groups of ``fan`` by levels, and each chunk is then decoded alone. Of equal paths the one with the lower state number wins.
 
 Result: a row for each turn, ``(id, turn, part, role, content, rendered)``; ``part`` is
 the number of its chunk. A turn that goes on in the next chunk has a further part; all
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.numbering import row_number, rows_before
+from ..operators.numbering import rows_before
 from ..session import checkpoint_root
 
 ROLES = ("system", "user", "assistant")
@@ -207,6 +207,104 @@ def _seams(start: np.ndarray):
     return run
 
 
+#: Chunks whose tables one task puts together.
+FAN = 512
+
+
+def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One table for each group, from the tables ``(c, group, chunk, best)`` of rows sorted that way.
+
+    Tables are chained like the lines they stand for, so a group's table is that of all its lines.
+    """
+    current: object = _compose
+    made: np.ndarray | None = None
+    kind = None
+
+    def row(table: np.ndarray) -> pa.RecordBatch:
+        key, group = current
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key], kind), pa.array([group], pa.int64()), pa.array([table.reshape(-1)], pa.list_(pa.float64()))],
+            names=["c", "chunk", "best"])
+
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        tables = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, STATES, STATES + 1)
+        for key, group, table in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), tables, strict=True):
+            if (key, group) != current:
+                if made is not None:
+                    yield row(made)
+                current, made = (key, group), table
+            else:
+                made = (made[:, :STATES, None] + table[None]).max(axis=1)
+    if made is not None:
+        yield row(made)
+
+
+def _inner_seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First states of a group's chunks, from rows ``(c, group, chunk, best, first, following)`` sorted by the first three.
+
+    ``first`` and ``following`` are the states at the group's own seams.
+    """
+    current: object = _inner_seams
+    chunks: list[int] = []
+    tables: list[np.ndarray] = []
+    ends, kind = (0, STATES), None
+
+    def solved() -> list:
+        best, backs = np.where(np.arange(STATES) == ends[0], 0.0, -np.inf), []
+        for table in tables[:-1]:
+            total = best[:, None] + table[:, :STATES]
+            backs.append(total.argmax(axis=0))
+            best = total.max(axis=0)
+            best = best - best.max()
+        states = [int((best + tables[-1][:, ends[1]]).argmax())]
+        for came in reversed(backs):
+            states.append(int(came[states[-1]]))
+        return [(current[0], chunks, states[::-1])]
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for batch in _seam_rows(solved(), kind):
+            following = batch.column(3).to_numpy().copy()
+            if batch.column(1)[-1].as_py() == chunks[-1]:
+                following[-1] = ends[1]
+            yield batch.set_column(3, "following", pa.array(following, pa.int32()))
+
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        found = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, STATES, STATES + 1)
+        keys = zip(*[batch.column(k).to_pylist() for k in (0, 1, 2, 4, 5)], strict=True)
+        for (key, group, chunk, first, following), table in zip(keys, found, strict=True):
+            if (key, group) != current:
+                if chunks:
+                    yield from rows()
+                current, chunks, tables, ends = (key, group), [], [], (first, following)
+            chunks.append(chunk)
+            tables.append(table)
+    if chunks:
+        yield from rows()
+
+
+def seam_states(best: DataFrame, start: np.ndarray, fan: int = FAN) -> DataFrame:
+    """``(c, chunk, first, following)`` of all chunks, from their tables ``(c, chunk, best)``.
+
+    A transcript of more than ``fan`` chunks is put together in groups, the groups'
+    seams are found first, in the same way, and then those inside each group: no task
+    holds more than ``fan`` tables of one transcript.
+    """
+    key = best.schema["c"]
+    seams = T.StructType([key, T.StructField("chunk", T.LongType()), T.StructField("first", T.IntegerType()),
+                          T.StructField("following", T.IntegerType())])
+    if (best.agg(F.max("chunk")).first()[0] or 0) < fan:
+        return best.repartition("c").sortWithinPartitions("c", "chunk").mapInArrow(_seams(start), seams)
+    grouped = best.select("c", F.floor(F.col("chunk") / fan).cast("bigint").alias("group"), "chunk", "best")
+    above = grouped.repartition("c", "group").sortWithinPartitions("c", "group", "chunk").mapInArrow(
+        _compose, T.StructType([key, T.StructField("chunk", T.LongType()), best.schema["best"]])).checkpoint()
+    known = seam_states(above, start, fan).withColumnsRenamed({"c": "gc", "chunk": "gg"})
+    joined = grouped.join(known, F.col("c").eqNullSafe(F.col("gc")) & (F.col("group") == F.col("gg"))).select(
+        "c", "group", "chunk", "best", "first", "following")
+    return joined.repartition("c", "group").sortWithinPartitions("c", "group", "chunk").mapInArrow(_inner_seams, seams)
+
+
 def _seam_rows(found: list, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     for key, chunks, states in found:
         for at in range(0, len(chunks), 10_000):
@@ -246,7 +344,7 @@ def _segments(lines: list[str], states: list[int], following: int) -> list[tuple
 
 def parse(
     transcripts: DataFrame, model: RoleModel, conv_id: str = "conv_id", seq: str = "seq", text: str = "text",
-    chunk_rows: int = 256,
+    chunk_rows: int = 256, fan: int = FAN,
 ) -> DataFrame:
     """``(conv_id, turn, part, role, content, rendered)`` of every transcript."""
     spark = transcripts.sparkSession
@@ -254,9 +352,11 @@ def parse(
     shared = spark.sparkContext.broadcast(model)
     rows = transcripts.select(
         F.col(conv_id).alias("c"), F.col(seq).alias("s"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    numbered = row_number(rows, ["c"], ["s", "t"], "n")
+    # A row counts as one and one more for each KiB, so a chunk is bounded by bytes, but for its last row.
+    rows = rows.withColumn("w", 1 + F.floor(F.octet_length("t") / 1024).cast("bigint"))
+    numbered = rows_before(rows, ["c"], ["s", "t"], "w", "n")
     chunks = (
-        numbered.withColumn("chunk", F.floor((F.col("n") - 1) / chunk_rows).cast("bigint")).groupBy("c", "chunk")
+        numbered.withColumn("chunk", F.floor(F.col("n") / chunk_rows).cast("bigint")).groupBy("c", "chunk")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "t"))), lambda x: x["t"]).alias("texts"))
         .checkpoint()
     )
@@ -269,9 +369,8 @@ def parse(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["c", "chunk", "best"])
 
     fields = [T.StructField("c", kind), T.StructField("chunk", T.LongType())]
-    best = chunks.mapInArrow(tables, T.StructType([*fields, T.StructField("best", T.ArrayType(T.DoubleType()))]))
-    seams = best.repartition("c").sortWithinPartitions("c", "chunk").mapInArrow(_seams(model.start), T.StructType(
-        [*fields, T.StructField("first", T.IntegerType()), T.StructField("following", T.IntegerType())]))
+    best = chunks.mapInArrow(tables, T.StructType([*fields, T.StructField("best", T.ArrayType(T.DoubleType()))])).checkpoint()
+    seams = seam_states(best, model.start, fan)
     seams = seams.withColumnsRenamed({"c": "sc", "chunk": "sk"})
     known = chunks.join(seams, F.col("c").eqNullSafe(F.col("sc")) & (F.col("chunk") == F.col("sk"))).select(
         "c", "chunk", "texts", "first", "following")
