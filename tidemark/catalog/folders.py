@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import normalise_root
 from ..operators import digests, intervals, recovery
 from ..operators import inventory as inv
 from ..operators.filters import PathRules
@@ -20,6 +21,7 @@ from ..sinks.buckets import BucketedInventory
 from ..sinks.output import write_action_log
 from ..streaming.folder_state import FolderState, in_slots, slot_of
 from ..streaming.inventory_stream import InventoryTable, stream_listings
+from ..streaming.refresh import refresh_when_idle
 from .base import epoch_ms, query, table
 
 _DAY = "1999-01-01"
@@ -429,3 +431,34 @@ def folder_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl tasks of every listed folder with their depth below the root."""
     tasks = inv.tasks(inv.folders_of(_listing(spark, sf_dir)), root="/part")
     return tasks.withColumn("level", F.col("level").cast("bigint"))
+
+
+@query("""
+    SELECT seed, count(*) AS n_tasks
+    FROM (SELECT DISTINCT string_split(regexp_replace(url, '^https?://', ''), '/')[1] AS host FROM pages), range(3) AS t(seed)
+    GROUP BY seed
+""")
+def refresh_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots seeded once and refreshed twice, each time when the stream over the tasks is idle."""
+    base = shared_dir(spark, "refresh")
+    host = F.substring_index(F.regexp_replace("url", "^https?://", ""), "/", 1)
+    roots = table(spark, sf_dir, "pages").select(normalise_root(F.concat(F.lit("\\\\"), host)).alias("id")).distinct()
+
+    def seed(number: int) -> int:
+        tasks = roots.select("id", F.lit(0).alias("level"), F.lit(number).cast("bigint").alias("seed"))
+        tasks.select(F.to_json(F.struct("id", "level", "seed")).alias("value")).coalesce(1).write.mode("append").text(f"{base}/in")
+        return tasks.count()
+
+    seed(0)
+    # An idle stream says so every half second; the default is every ten.
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "500")
+    messages = spark.readStream.text(f"{base}/in")
+    query = messages.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option(
+        "path", f"{base}/out").trigger(processingTime="200 milliseconds").start()
+    try:
+        refresh_when_idle(spark, query, lambda n: seed(n + 1), 2, delay=0.2, timeout=120)
+    finally:
+        query.stop()
+        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
+    found = spark.read.schema("value string").parquet(f"{base}/out")
+    return found.groupBy(F.get_json_object("value", "$.seed").cast("bigint").alias("seed")).agg(F.count(F.lit(1)).alias("n_tasks"))
