@@ -171,10 +171,10 @@ def first_position(takes: Column) -> Column:
     return F.get(takes, F.lit(0))["position"]
 
 
-def in_order(planned: DataFrame) -> DataFrame:
-    """Rows of ``plan`` sorted by range of their first position; rows without a take last."""
-    position = first_position(F.col("takes"))
-    return planned.repartitionByRange(position.asc_nulls_last()).sortWithinPartitions(position.asc_nulls_last())
+def in_order(planned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Rows of ``plan`` sorted by range of their first position, then id; rows without a take last."""
+    order = [first_position(F.col("takes")).asc_nulls_last(), F.col(doc_id)]
+    return planned.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mixed(planned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
