@@ -219,7 +219,7 @@ def train(
     n_known, n_toxic = known.agg(F.count("_id"), F.sum((F.col("_toxic") > 0).cast("bigint"))).first()
     if not n_toxic:
         return ToxicModel()
-    prior = min(max(n_toxic / n_known, 1e-4), 0.5)
+    prior = min(max(n_toxic / n_known, 1e-4), 1 - 1e-4)
     toxic = known.filter("_toxic > 0").filter(spread("_id", "toxic") < max_positive / n_toxic).select("_id")
     ids = docs.filter(F.col(doc_id).isNotNull())
     share = max_unlabelled / max(1, ids.select(doc_id).count())
