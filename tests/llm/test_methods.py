@@ -40,6 +40,25 @@ def test_items_in_parts(spark, texts):
     assert sorted(map(str, once.collect())) == sorted(map(str, parts.collect()))
 
 
+def test_no_plan_holds_more_than_a_few_automata(spark, texts):
+    docs = spark.createDataFrame(texts[:20], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"word{i} " * 30) for i in range(12)], "item_id long, text string")
+    found = decontamination.find_hits(docs, items, part_words=30)
+    plan = found._jdf.queryExecution().logical().toString()
+    assert 1 <= plan.count("MapInArrow") <= decontamination.PARTS_AT_ONCE
+    assert found.count() == 20
+
+
+@pytest.mark.parametrize("toxic", [1, 15, 20])
+def test_the_prior_is_the_share_of_toxic_labels(spark, monkeypatch, toxic):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda sample, prior: seen.append(prior))
+    docs = spark.createDataFrame([(i, "some text") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < toxic)) for i in range(20)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    assert seen == [min(toxic / 20, 1 - 1e-4)]
+
+
 def test_cutting_spans():
     cut = decontamination.without_spans("A b, c! D é.\nx".encode(), [(1, 3), (4, 5)]).decode()
     assert cut == "A ! D .\nx"

@@ -7,8 +7,10 @@ ends there, or a whole item that is shorter. Words inside any such match are hit
 
 The automaton is broadcast, so its size is bounded: items are dealt into parts of at
 most ``part_words`` words (one longer item is cut into overlapping pieces, which
-changes no window), each part is collected and broadcast alone, and the documents
-pass through the parts one after the other.
+changes no window), and each part is collected and broadcast alone. Documents pass
+through ``PARTS_AT_ONCE`` parts in one job; with more parts what was found is written
+by ``checkpoint()`` and the automata are given up before the next parts are built, so no
+task and no driver holds more of them, however large the benchmark is.
 
 Defined results: a null, empty or wordless text has no words and no hits; items
 without words and null items are no window; repeated items under one id count
@@ -27,9 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_root
 from .common import WORD_BYTES, schema_with, with_arrays
 
 WINDOW = 10
+#: Automata that one job, and each of its tasks, holds.
+PARTS_AT_ONCE = 2
 MADE = {"n_words", "hit_starts", "hit_ends", "hit_items"}
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -233,11 +238,16 @@ def find_hits(
 
         return run
 
-    some = False
+    open_: list = []
     for part in _parts(items, item_id, item_text, window, part_words):
-        some = True
-        docs = docs.mapInArrow(scan(context.broadcast(Automaton(part, window))), schema)
-    return docs if some else docs.mapInArrow(scan(context.broadcast(Automaton([], window))), schema)
+        if len(open_) == PARTS_AT_ONCE:
+            checkpoint_root(docs.sparkSession)
+            docs = docs.checkpoint()
+            while open_:
+                open_.pop().destroy()
+        open_.append(context.broadcast(Automaton(part, window)))
+        docs = docs.mapInArrow(scan(open_[-1]), schema)
+    return docs if open_ else docs.mapInArrow(scan(context.broadcast(Automaton([], window))), schema)
 
 
 def hit_words() -> Column:
