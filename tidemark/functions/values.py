@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import col, whole_number
 from .paths import file_name, has_parent, parent_folder, slash_normalise
 
+# Separators inside stored names and the prefix of native formats.
 LEAF_SEPARATOR = "_:_"
 CHILD_SEPARATOR = " -_ "
 NATIVE_PREFIX = "application/vnd.google-apps."

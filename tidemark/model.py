@@ -13,6 +13,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 FIELDS = T.MapType(_S, T.ArrayType(_S))
 
+# The key names of landed JSON, in all structs of this module.
 PERMISSION = _struct(
     type=_S, value=_S, right=_S, name=_S, thumbnailPhotoUrl=_S, roleNames=T.ArrayType(_S),
 )

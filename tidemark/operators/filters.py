@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.errors import IllegalArgumentException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import col
@@ -110,8 +110,3 @@ def capped_body(body: Column | str, cap: int = BODY_CAP) -> Column:
 def has_indexable_content(stub: Column, size: Column, cap: int = HEADER_BODY_CAP) -> Column:
     """False for a stub, an empty body or one above the cap."""
     return ~F.coalesce(stub, F.lit(False)) & (F.coalesce(size, F.lit(0)) > 0) & (size <= cap)
-
-
-def readable(df: DataFrame, flag: str = "readable") -> DataFrame:
-    """Unreadable entries are skipped; see inventory.diff for why that is not a delete."""
-    return df.where(F.coalesce(F.col(flag), F.lit(True)))
