@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, line_quality, piece_bpe, secret_scan, simhash, toxicity, transcripts, url_filter
@@ -249,6 +250,53 @@ def test_labels_and_logits_of_windows():
     assert np.abs(net.forward(codes)[0] - net.logits(codes)).max() < 1e-4
 
 
+def test_examples_are_those_of_least_hash(spark):
+    texts = [f"key = 'token: {i:06d}abcdef' plain{chr(97 + i % 26) * 7} words{i} 2024-01-{i:06d}" for i in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, ""), (None, texts[0])], "doc_id long, text string")
+    kinds = {}
+    for t in texts:
+        for w, k in secret_scan.labelled(t):
+            kinds[w] = min(k, kinds.get(w, k))
+    want = []
+    for kind in (secret_scan.FOUND, secret_scan.DIGITS, secret_scan.PLAIN):
+        ranked = sorted((xxhash.xxh64_intdigest(w.encode(), 42) >> 1, w) for w, k in kinds.items() if k == kind)
+        want += [(w, kind) for _, w in ranked[:40]]
+    got = secret_scan.examples(docs.repartition(5), max_windows=40)
+    assert list(zip(*got, strict=True)) == sorted(want)
+    assert secret_scan.examples(docs.limit(0)) == ([], [])
+
+
+def test_forms_that_were_held_out(spark):
+    """Two forms that no training example has; plain texts give next to no span."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    net = secret_scan.train(docs, forms=[f for f in secret_scan.FORMS if f not in ("mixed", "upper")])
+    rng = random.Random(99)
+    for form in ("mixed", "upper"):
+        keys = ["".join(rng.choice(secret_scan.FORMS[form]) for _ in range(rng.choice([20, 32, 40]))) for _ in range(200)]
+        found = secret_scan.scan_texts([f"see the value {k} in here" for k in keys], net)
+        assert sum((14, 3, 14 + len(k)) in spans for k, spans in zip(keys, found, strict=True)) >= 160
+    texts = [r["text"] or "" for r in docs.collect()]
+    runs = sum(1 for t in texts for _ in secret_scan.uncovered(t, secret_scan.base_spans(t)))
+    added = sum(k == 3 for spans in secret_scan.scan_texts(texts, net) for _, k, _ in spans)
+    assert runs > 100_000 and added <= 100e-6 * runs
+
+
+def test_made_examples():
+    text = "password = 'abcdefgh' and ordinary wordless runners"
+    windows, kinds = map(list, zip(*sorted(set(secret_scan.labelled(text))), strict=True))
+    made, labels = secret_scan.varied(windows, kinds, redraws=20)
+    assert made[:len(windows)] == windows and len(set(made)) == len(made) == len(labels)
+    assert (secret_scan.varied(windows, kinds, redraws=20)[1] == labels).all()
+    assert {len(w) for w in made} == {secret_scan.WIDTH} and labels.sum() == 1 + 20 * len(secret_scan.FORMS)
+    plain = [(w, k) for w, k in zip(windows, kinds, strict=True) if k != secret_scan.FOUND]
+    assert len(secret_scan.varied(*map(list, zip(*plain, strict=True)))[0]) == len(plain)  # no finding: nothing is made
+    rng = random.Random(1)
+    for form, letters in secret_scan.FORMS.items():
+        for _ in range(50):
+            value = secret_scan.redrawn(rng, form)
+            assert 16 <= len(value) <= 48 and len(set(value) - set(letters + "=_-abcdefghijklmnopqrstuvwxyz")) == 0
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
     net = secret_scan.CharNet.fresh(size=3, filters=4)
