@@ -54,3 +54,8 @@ def test_newest_rows_are_hashed(spark):
     rows = spark.range(5).selectExpr("cast(id as string) path", "id last_modified_ms", "id size", "true readable")
     text = newest_per_path(rows)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_long_rows_of_a_mapping_table_are_never_broadcast(spark):
+    text = plan(spark, "mapping_table")
+    assert "BroadcastHashJoin [_id" not in text and "SortMergeJoin [_id" in text

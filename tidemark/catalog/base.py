@@ -38,3 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_ms(column: str) -> Column:
     return F.unix_millis(F.col(column).cast("timestamp"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt over all cores: a small file is one task, however much is done with each of its rows."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)

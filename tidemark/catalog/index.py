@@ -12,7 +12,7 @@ from ..operators import headers, index, mapping
 from ..plans.stages import Stage, load_stages, run_stages, terminate
 from ..session import shared_dir
 from ..streaming.index_stream import IndexTable, stream_actions
-from .base import query, table
+from .base import query, spread, table
 
 
 @query("""
@@ -77,7 +77,7 @@ _ENTRIES = [
 ]
 
 
-def _part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _part_documents(parts: DataFrame) -> DataFrame:
     """Parts as documents: renamed, shared, multi-valued, dynamic, facet and unmapped fields."""
     words = F.struct(F.lit("permissions").alias("name"), F.split("p_name", " ").alias("values"))
     tags = F.struct(F.lit("tags").alias("name"), F.split("p_name", " ").alias("values"))
@@ -89,9 +89,7 @@ def _part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         entry("label", "p_name"), entry("category", "p_type"), entry("client", "p_brand"), words, tags, hier,
         entry("PID_size", "p_size"), entry("title", "p_name"), entry("unmapped", "p_type"),
     )
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("id"), merge_entries(fields).alias("fields")
-    )
+    return parts.select(F.col("p_partkey").cast("string").alias("id"), merge_entries(fields).alias("fields"))
 
 
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +102,7 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         for source, target, dynamic, many in _ENTRIES
     )
     spark.sql(f"SELECT array({entries}) AS iDoc2Solr").write.json(path)
-    sent = mapping.map_fields(_part_documents(spark, sf_dir), mapping.FieldMapping.load(spark, path))
+    sent = mapping.map_fields(_part_documents(table(spark, sf_dir, "part")), mapping.FieldMapping.load(spark, path))
     return docs.to_long(sent, "id", "index_fields").withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -130,7 +128,7 @@ def mapping_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = spark.createDataFrame(
         [(s, t, t in known.multi) for s, t in known.targets.items()], "source string, target string, multi boolean")
     prefixes = spark.createDataFrame([(p,) for p in known.prefixes], "prefix string")
-    return mapping.map_table(docs.to_long(_part_documents(spark, sf_dir)), targets, prefixes)
+    return mapping.map_table(docs.to_long(_part_documents(spread(table(spark, sf_dir, "part")))), targets, prefixes)
 
 
 @query(f"SELECT * FROM ({_MAPPED_SQL}) WHERE field LIKE 'PID\\_%' ESCAPE '\\' OR field LIKE '\\_hier\\_%' ESCAPE '\\'")
@@ -155,7 +153,7 @@ def mapped_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = spark.createDataFrame(
         [(s, t, t in many) for s, t, _, _ in _ENTRIES if t], "source string, target string, multi boolean"
     )
-    long = docs.to_long(_part_documents(spark, sf_dir))
+    long = docs.to_long(_part_documents(table(spark, sf_dir, "part")))
     return mapping.map_long(long, targets).groupBy("field", "target", "multi").agg(F.count(F.lit(1)).alias("n_values"))
 
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.common import let, no_strings
 from ..model import MAPPING_FILE
+from ..session import checkpoint_root, shared_dir
 
 HIER_PREFIX = "_hier_"
+#: Mapped field names that are sent to every task; more of them are joined by a shuffle.
+FEW_NAMES = 100_000
 
 # Fields mapped without any configuration.
 DEFAULT_TARGETS = {
@@ -211,12 +214,21 @@ def map_table(
     names meet the mapping once; which field a document sends where is worked out from
     its field names, and its values follow in a join on (id, field). The result has
     the same columns; positions count from 0 within an index field.
+
+    The rows are written once when this is called, as they are read three times. Spark takes exploded
+    rows for no larger than the rows they come from, so no join may choose by its estimate to
+    broadcast them.
     """
     reserved = F.array(*[F.lit(t) for t in taken]).cast("array<string>")
     kind = "array<struct<field:string,to:string,mapped:boolean,multi:boolean>>"
-    filled = long.where(F.col("value").isNotNull()).select(F.col(identifier).alias("_id"), "field", "pos", "value")
+    spark = long.sparkSession
+    checkpoint_root(spark)
+    path = shared_dir(spark, "long")
+    long.where(F.col("value").isNotNull()).select(F.col(identifier).alias("_id"), "field", "pos", "value").write.parquet(path)
+    filled = spark.read.parquet(path)
     own = filled.select("_id", "field").distinct()
-    known = _known_fields(own.select("field").distinct(), targets, prefixes)
+    known = _known_fields(filled.select("field").distinct(), targets, prefixes).checkpoint()
+    known = F.broadcast(known) if known.count() <= FEW_NAMES else known.hint("merge")
 
     def sent(done: Column, item: Column) -> Column:
         def add(to: Column, mapped: bool) -> Column:
@@ -231,7 +243,7 @@ def map_table(
     items = F.array_sort(F.collect_list(F.struct("field", "target", "multi", "dynamic")))
     plan = own.join(known, "field").groupBy("_id").agg(items.alias("items")).select(
         "_id", F.inline(F.aggregate("items", F.array().cast(kind), sent)))
-    values = filled.join(plan, ["_id", "field"])
+    values = filled.hint("merge").join(plan.hint("merge"), ["_id", "field"])
     joins = F.col("mapped") & ~F.col("multi")
     texts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"])
     one = values.where(joins).groupBy("_id", "to", "field").agg(F.array_join(texts, ",").alias("value")).withColumn("pos", F.lit(0))
