@@ -8,7 +8,7 @@ whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalise_root
@@ -29,6 +29,13 @@ _RULES = PathRules(exclude_names=(r".*/line7\.dat",), max_size=45)
 _KEPT_SQL = "(NOT regexp_full_match(path, '.*/line7\\.dat') AND size < 45)"
 
 
+def _path() -> Column:
+    return F.concat(
+        F.lit("/part/"), F.col("l_partkey").cast("string"), F.lit("/"), "l_linestatus",
+        F.lit("/line"), F.col("l_linenumber").cast("string"), F.lit(".dat"),
+    )
+
+
 def _listing(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     if until:
@@ -42,14 +49,36 @@ def _listing(spark: SparkSession, sf_dir: str, until: str | None = None) -> Data
         F.max(ms).alias("last_modified_ms"), F.max_by(size, version).alias("size"),
         F.max_by(flag, version).alias("flag"),
     )
-    path = F.concat(
-        F.lit("/part/"), F.col("l_partkey").cast("string"), F.lit("/"), "l_linestatus",
-        F.lit("/line"), F.col("l_linenumber").cast("string"), F.lit(".dat"),
-    )
-    files = newest.where("flag = 1").select(path.alias("path"), "last_modified_ms", "size")
+    files = newest.where("flag = 1").select(_path().alias("path"), "last_modified_ms", "size")
     return inv.as_inventory(files)
 
 
+def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The listings of the past day and of now, from one pass over the lines that is written once.
+
+    For queries that read a listing several times: each reading would aggregate all lines anew.
+    """
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    size, ms = F.col("l_quantity").cast("bigint"), epoch_ms("l_shipdate")
+    early = F.col("l_shipdate") <= F.lit(_DAY).cast("timestamp_ntz")
+    # No row counts for an order that is null.
+    orders = {"old": F.when(early, inv.version(ms, size * 3 + flag)), "new": inv.version(ms, size * 3 + flag)}
+    times = {"old": F.when(early, ms), "new": ms}
+    path = f"{shared_dir(spark, 'listings')}/files"
+    table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linestatus", "l_linenumber").agg(*[
+        c for when, order in orders.items() for c in (
+            F.max(times[when]).alias(f"{when}_ms"), F.max_by(size, order).alias(f"{when}_size"),
+            F.max_by(flag, order).alias(f"{when}_flag"))
+    ]).where("old_flag = 1 or new_flag = 1").write.parquet(path)
+    newest = spark.read.parquet(path)
+
+    def listed(when: str) -> DataFrame:
+        return inv.as_inventory(newest.where(F.col(f"{when}_flag") == 1).select(
+            _path().alias("path"), F.col(f"{when}_ms").alias("last_modified_ms"), F.col(f"{when}_size").alias("size")))
+
+    return listed("old"), listed("new")
+
+
 def _listing_sql(until: str | None = None) -> str:
     where = f"WHERE l_shipdate <= TIMESTAMP '{until}'" if until else ""
     return f"""
@@ -165,10 +194,12 @@ def bucketed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_APPLIED_SQL)
 def bucketed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory after two partial crawls of all folders, each of which writes its own shards alone."""
-    stored = BucketedInventory(spark, shared_dir(spark, "buckets"))
-    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    base = shared_dir(spark, "buckets")
+    stored, (before, now) = BucketedInventory(spark, base), _listings(spark, sf_dir)
     stored.save(before)
-    rows = inv.complete_listing(now, "1", inv.parent_folders(before))
+    # Written once, as each half reads it several times.
+    inv.complete_listing(now, "1", inv.parent_folders(before)).write.parquet(f"{base}/listing")
+    rows = spark.read.parquet(f"{base}/listing")
     folder = F.when(F.col("is_dir"), F.col("path")).otherwise(F.col("parent"))
     for half in range(2):
         stored.apply(rows.where(F.pmod(stored.shard_of(folder), F.lit(2)) == half), _RULES, partial=True)
