@@ -209,7 +209,7 @@ def bucketed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_DIFF_SQL)
 def digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The diff with files compared only in folders whose digests differ."""
-    return digests.digest_diff(_listing(spark, sf_dir, _DAY), _listing(spark, sf_dir), _RULES)[0]
+    return digests.digest_diff(*_listings(spark, sf_dir), _RULES)[0]
 
 
 _STATES = [
