@@ -223,8 +223,8 @@ _STATES = [
 """)
 def changed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folders whose own files differ from the stored ones, found from the roots downwards."""
-    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir).where(_RULES.keeps_entry())
-    return digests.descend(digests.own_digests(before), digests.own_digests(now)).changed
+    before, now = _listings(spark, sf_dir)
+    return digests.descend(digests.own_digests(before), digests.own_digests(now.where(_RULES.keeps_entry()))).changed
 
 
 _FOLDERS_SQL = f"""
