@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import QUERIES, folders
 from tidemark.operators import inventory as inv
 from tidemark.operators.filters import PathRules, capped_body, has_indexable_content
 from tidemark.plans.crawl import plan_crawl
@@ -215,3 +216,21 @@ def test_a_body_beyond_the_cap_is_a_row_without_content(spark, tmp_path):
     (tmp_path / "large.txt").write_text("x" * 50)
     rows = {r.path.rsplit("/", 1)[1]: (r.length, r.content) for r in read_bodies(spark, str(tmp_path), cap=10).collect()}
     assert rows == {"small.txt": (3, b"abc"), "large.txt": (50, None)}
+
+
+def test_one_pass_over_the_lines_gives_both_listings(spark, tmp_path):
+    rows = [(p, s, n, q, f, d) for p in (1, 2, None) for s in ("F", None) for n in (1, 2)
+            for q, f, d in ((3.0, "N", "1998-05-01"), (3.0, "A", "1998-05-01"), (None, "N", "1998-07-01"), (5.0, "RNA"[n], "2000-01-01"),
+                            (7.0, "N", None))][:-7]
+    lines = spark.createDataFrame(rows * 2, "l_partkey long, l_linestatus string, l_linenumber int, l_quantity double, l_returnflag string, d string")
+    lines.withColumn("l_shipdate", F.col("d").cast("timestamp_ntz")).drop("d").write.parquet(f"{tmp_path}/lineitem.parquet")
+    before, now = folders._listings(spark, str(tmp_path))
+    for got, want in ((before, folders._listing(spark, str(tmp_path), folders._DAY)), (now, folders._listing(spark, str(tmp_path)))):
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 2
+
+
+@pytest.mark.parametrize("name", ["digest_diff", "cascade_intervals", "changed_folders"])
+def test_lines_are_not_read_again(spark, name):
+    text = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "l_shipdate" not in text

@@ -331,8 +331,8 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def cascade_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored files under a vanished folder, by ranges of pre-order numbers."""
-    before = _listing(spark, sf_dir, _DAY)
-    gone = inv.gone_folders(inv.folders_of(before), inv.folders_of(_listing(spark, sf_dir)))
+    before, now = _listings(spark, sf_dir)
+    gone = inv.gone_folders(inv.folders_of(before), inv.folders_of(now))
     return intervals.below(before, gone).select("path")
 
 
