@@ -329,3 +329,26 @@ def test_unlabelled_positives_are_found():
     w, bias = toxicity.fit_nnpu(row, col, n, 40, known.astype(float), np.ones(n), 0.3)
     z = bias + np.bincount(row, w[col], n)
     assert ((z > 0) == hidden).mean() > 0.97 and w[:3].min() > 3 * np.abs(w[3:]).max()
+
+
+def test_training_sees_all_documents(spark):
+    """Every finding and every run of all documents, whatever their partitions; shards share the work."""
+    rng = random.Random(5)
+    texts = [f"key = 'token: {i:06d}abcdef' plain{chr(97 + i % 26) * 7} words{i} 2024-01-{i:06d} {'xy' * (i % 40)}" for i in range(400)]
+    texts += [" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(9)) for _ in range(20)) for _ in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, ""), (902, texts[0])], "doc_id long, text string")
+    found, runs = set(), {}
+    for t in texts:
+        for w, k in secret_scan.labelled(t):
+            run = w[secret_scan.BEFORE:-secret_scan.AFTER].rstrip("\0")
+            if k == secret_scan.FOUND:
+                found.add(w)
+            else:
+                runs[run] = min(k, runs.get(run, k))
+    got = [sorted(map(tuple, secret_scan.distinct_windows(docs.repartition(n)).collect())) for n in (1, 5)]
+    assert got[0] == got[1]
+    assert {w for w, k in got[0] if k == secret_scan.FOUND} == found
+    assert sorted((w[secret_scan.BEFORE:-secret_scan.AFTER].rstrip("\0"), k) for w, k in got[0] if k) == sorted(runs.items())
+    nets = [secret_scan.train(docs.repartition(n), per_shard=2000) for n in (1, 5)]
+    assert len(got[0]) > 4000 and nets[0].threshold == nets[1].threshold < 1
+    assert all((a == b).all() for a, b in zip(nets[0].parameters(), nets[1].parameters(), strict=True))
