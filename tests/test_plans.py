@@ -59,3 +59,7 @@ def test_newest_rows_are_hashed(spark):
 def test_long_rows_of_a_mapping_table_are_never_broadcast(spark):
     text = plan(spark, "mapping_table")
     assert "BroadcastHashJoin [_id" not in text and "SortMergeJoin [_id" in text
+
+
+def test_metas_of_a_small_file_are_made_by_many_tasks(spark):
+    assert "RoundRobinPartitioning" in plan(spark, "flat_metas")

@@ -19,7 +19,7 @@ from ..session import shared_dir
 from ..sinks.output import catalogue, write_catalogue
 from ..model import LIBRARY
 from ..sources.api import parse_documents
-from .base import query, table
+from .base import query, spread, table
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +222,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.slice(attachments, 1, 0)).alias("attachments"),
         F.array(field, unnamed).alias("fields"), F.array(place, hidden).alias("categories"),
     ))
-    return parse_documents(_geo(spark, sf_dir).select(text.alias("json")), "json").select("doc")
+    # Making and parsing one text costs far more than reading its row: a customer file is one task otherwise.
+    return parse_documents(spread(_geo(spark, sf_dir)).select(text.alias("json")), "json").select("doc")
 
 
 _BAD_DATE = "c_mktsegment = 'FURNITURE'"
