@@ -63,3 +63,7 @@ def test_long_rows_of_a_mapping_table_are_never_broadcast(spark):
 
 def test_metas_of_a_small_file_are_made_by_many_tasks(spark):
     assert "RoundRobinPartitioning" in plan(spark, "flat_metas")
+
+
+def test_attachments_of_a_small_file_are_made_by_many_tasks(spark):
+    assert "RoundRobinPartitioning" in plan(spark, "attachment_rows")
