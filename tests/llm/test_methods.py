@@ -352,3 +352,35 @@ def test_training_sees_all_documents(spark):
     nets = [secret_scan.train(docs.repartition(n), per_shard=2000) for n in (1, 5)]
     assert len(got[0]) > 4000 and nets[0].threshold == nets[1].threshold < 1
     assert all((a == b).all() for a, b in zip(nets[0].parameters(), nets[1].parameters(), strict=True))
+
+
+class Listening:
+    """A network that finds nothing and keeps the windows that it is asked for."""
+
+    threshold = 0.5
+
+    def __init__(self):
+        self.asked, self.calls = [], 0
+
+    def probabilities(self, windows):
+        self.asked += [w.replace("\1", "?") for w in windows]
+        self.calls += 1
+        return np.zeros(len(windows))
+
+
+def test_windows_are_cut_from_many_texts_at_once(monkeypatch):
+    rng = random.Random(23)
+    texts = ["", "x", "abcdefgh", "naïve ünïcode wörds 漢字abcdef"] + [
+        "".join(rng.choice("abcdefgh01 \u00e9/=") for _ in range(rng.randint(0, 900))) + "a" * rng.choice([0, 5, 49, 200])
+        for _ in range(60)]
+    want = [secret_scan.window(t, s, e) for t in texts for a, b in secret_scan.uncovered(t, secret_scan.base_spans(t))
+            for s, e in secret_scan.slices(a, b)]
+    want = ["".join(c if c < "\x80" else "?" for c in w) for w in want]
+    seen = {}
+    for at_once in (8192, 50, 1):
+        monkeypatch.setattr(secret_scan, "_AT_ONCE", at_once)
+        seen[at_once] = Listening()
+        secret_scan.scan_texts(texts, seen[at_once])
+        assert seen[at_once].asked == want
+    # Texts share a call, and a text beyond the bound is judged in several.
+    assert seen[8192].calls == 1 < seen[50].calls < seen[1].calls

@@ -26,7 +26,7 @@ import math
 import random
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -121,12 +121,40 @@ def uncovered(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
-def _codes(windows: list[str]) -> np.ndarray:
+class Windows(Sequence):
+    """Windows held by their codes."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self.codes = codes
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def __getitem__(self, at: int) -> str:
+        return bytes(self.codes[at]).decode()
+
+
+def _codes(windows: Sequence[str]) -> np.ndarray:
     """ASCII as it is, NUL for padding, 1 for all else; the shape is (windows, WIDTH)."""
+    if isinstance(windows, Windows):
+        return windows.codes
     points = np.frombuffer("".join(windows).encode("utf-32-le"), np.uint32).reshape(len(windows), WIDTH)
     return np.where(points < 128, points, 1).astype(np.int64)
 
 
+def _cut(texts: list[str], starts: list[int], ends: list[int]) -> Windows:
+    """The windows between places of the joined texts, each behind its ``BEFORE``; none is over ``HEAD + TAIL``."""
+    pad = "\0" * BEFORE
+    points = np.frombuffer("".join([x for t in texts for x in (pad, t)] + ["\0" * WIDTH]).encode("utf-32-le"), np.uint32)
+    points = np.where(points < 128, points, 1).astype(np.uint8)
+    first, last = np.array(starts, np.intp), np.array(ends, np.intp)
+    codes = np.empty((len(first), WIDTH), np.uint8)
+    codes[:, :-AFTER] = points[first[:, None] + np.arange(-BEFORE, HEAD + TAIL)]
+    codes[:, BEFORE:-AFTER] *= np.arange(HEAD + TAIL) < (last - first)[:, None]
+    codes[:, -AFTER:] = points[last[:, None] + np.arange(AFTER)]
+    return Windows(codes)
+
+
 @dataclass
 class CharNet:
     """Embedding, one convolution, maximum and mean over places, one logit."""
@@ -206,10 +234,10 @@ class CharNet:
         empty = HEAD + TAIL - self.SPAN + 1
         padding = np.maximum(front[0] + back[0] + last[BEFORE * 128], 0)
         order = np.argsort(lengths, kind="stable")
-        memory = np.empty((2, steps * 64 * filters), np.float32)
-        for at in range(0, len(codes), 64):  # fits a core's cache
-            some = order[at:at + 64]
-            seen = np.ascontiguousarray(codes[some].T)
+        memory = np.empty((2, steps * 128 * filters), np.float32)
+        for at in range(0, len(codes), 128):  # fits a core's cache
+            some = order[at:at + 128]
+            seen = codes[some].T.astype(np.intp, order="C")
             pairs = seen[:-1] * 128 + seen[1:]
             alike = max(0, empty - int(lengths[some[-1]]))
             columns = np.r_[0:BEFORE + empty - alike, BEFORE + empty:steps]
@@ -226,10 +254,8 @@ class CharNet:
             out[some] = (peak * self.out[:filters]).sum(axis=1) + (total / steps * self.out[filters:]).sum(axis=1)
         return out + self.bias[0]
 
-    def probabilities(self, windows: list[str]) -> np.ndarray:
-        logits = [self.logits(_codes(windows[i:i + 1024])) for i in range(0, len(windows), 1024)]
-        z = self.slope * np.concatenate([*logits, np.empty(0)]) + self.offset
-        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+    def probabilities(self, windows: Sequence[str]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(_codes(windows)) + self.offset, -60, 60)))
 
 
 def _scaled(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
@@ -547,13 +573,17 @@ def distinct_windows(docs: DataFrame, text: str = "text") -> DataFrame:
                     continue
                 padded = _padded(value)
                 for m in _CANDIDATE.finditer(value):
-                    key, (s, e) = m[0], m.span()
+                    key = m[0]
+                    old = rows.get(key)
+                    # Of one run the kind is the same wherever it stands, so a lesser rank stays.
+                    if old is not None and old[1] < rank:
+                        continue
+                    s, e = m.span()
                     kind = DIGITS if e - s >= 12 and _DIGIT.search(key) else PLAIN
                     if e - s > HEAD + TAIL:
                         for start, end in slices(s, e):
                             add(value[start:end], kind, rank, start, _short_window(padded, start, end))
                         continue
-                    old = rows.get(key)
                     if old is None or (kind, rank, s) < old[:3]:
                         rows[key] = kind, rank, s, _short_window(padded, s, e)
             if len(rows) > 200_000:
@@ -651,6 +681,10 @@ def _fitted(dealt: DataFrame, shards: int, min_recall: float, forms: tuple[str,
     return net
 
 
+#: Windows that are judged together.
+_AT_ONCE = 8192
+
+
 def scan_texts(texts: list[str], net: CharNet) -> list[list[Span]]:
     """All spans of every text; the network judges the candidates of all texts together."""
     spans = [base_spans(t) for t in texts]
@@ -658,24 +692,32 @@ def scan_texts(texts: list[str], net: CharNet) -> list[list[Span]]:
         return spans
     asked: list[tuple[int, int, int]] = []
     added: set[tuple[int, Span]] = set()
-    windows: list[str] = []
+    held: list[str] = []
+    starts: list[int] = []
+    ends: list[int] = []
 
     def judge() -> None:
-        for (i, s, e), p in zip(asked, net.probabilities(windows), strict=True):
-            if p >= net.threshold:
-                added.add((i, (s, 3, e)))
-        asked.clear()
-        windows.clear()
+        for n in np.flatnonzero(net.probabilities(_cut(held, starts, ends)) >= net.threshold):
+            i, s, e = asked[n]
+            added.add((i, (s, 3, e)))
+        for some in (asked, held, starts, ends):
+            some.clear()
 
+    at = 0
     for i, text in enumerate(texts):
-        padded = _padded(text)
+        first, at = 0, at + BEFORE
         for s, e in uncovered(text, spans[i]) if spans[i] else candidates(text):
+            if len(starts) >= _AT_ONCE:  # the rest of the text is held from here on
+                held.append(text[first:s + AFTER])
+                judge()
+                first, at = max(0, s - BEFORE), BEFORE
             for start, end in slices(s, e) if e - s > HEAD + TAIL else ((s, e),):
                 asked.append((i, s, e))
-                windows.append(_short_window(padded, start, end))
-            if len(windows) >= 4096:
-                judge()
-    if windows:
+                starts.append(at + start - first)
+                ends.append(at + end - first)
+        held.append(text[first:])
+        at += len(text) - first
+    if starts:
         judge()
     for i, span in added:
         spans[i].append(span)
