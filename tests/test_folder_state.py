@@ -97,3 +97,17 @@ def test_an_open_listing_expires(spark, tmp_path):
 def test_a_start_without_stored_files(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     assert feed.batch(feed.rows(file("/a/1", 1, 1))) == [("/a/1", 1, 1)]
+
+
+def test_folders_of_one_group_share_one_value_and_are_settled_each_for_itself(spark, tmp_path):
+    old = files(spark, *[(f"/{f}/{i}", 1000, i) for f in "abc" for i in range(3)])
+    feed = Feed(spark, tmp_path, old, groups=1)
+    # /a is listed whole, /b stays open, /c is not listed.
+    got = feed.batch(feed.rows(file("/a/0", 5000, 9), end("/a", 1), file("/b/0", 1000, 0), end("/b", 2), file("/d/0", 1, 1)))
+    assert [r[0] for r in got] == ["/a/0", *[f"/{f}/{i}" for f in "bc" for i in range(3)], "/d/0"]
+    got = feed.batch(feed.rows(file("/b/1", 1000, 1)))
+    assert [r[0] for r in got] == ["/a/0", "/b/0", "/b/1", "/c/0", "/c/1", "/c/2", "/d/0"]
+    assert feed.log() == [
+        ("delete", "/a/1", 1000), ("delete", "/a/2", 1000), ("delete", "/b/2", 1000), ("insert", "/d/0", 1), ("update", "/a/0", 5000)]
+    state = spark.read.format("statestore").option("path", feed.state.checkpoint).option("stateVarName", "files").load()
+    assert state.count() == 1

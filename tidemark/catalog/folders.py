@@ -170,15 +170,15 @@ def inventory_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, kept in keyed state: three batches, every folder's listing cut over them, a restart in between."""
     base = shared_dir(spark, "inventory")
-    state = FolderState(spark, f"{base}/state")
-    before, now = _listing(spark, sf_dir, _DAY), _listing(spark, sf_dir)
+    state, (before, now) = FolderState(spark, f"{base}/state"), _listings(spark, sf_dir)
     in_slots(now, "1", state.slots, inv.parent_folders(before)).withColumn("part", slot_of("path", 3)).write.partitionBy(
         "part").parquet(f"{base}/rows")
     rows = spark.read.parquet(f"{base}/rows")
+    files = spark.sparkContext.defaultParallelism
     for parts in ([0], [1, 2]):
         for part in parts:
-            rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/listing")
-        source = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1)
+            rows.where(F.col("part") == part).drop("part").repartition(files).write.mode("append").parquet(f"{base}/listing")
+        source = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", files)
         state.stream(source.parquet(f"{base}/listing"), _RULES, before).awaitTermination()
     return state.read().select("path", "last_modified_ms", "size")
 

@@ -1,9 +1,11 @@
 """The stored inventory as keyed state: folder listings compared inside Spark's state store.
 
-The key is a folder and a slot of it; a slot takes the paths whose hash falls to it, so a
-folder that holds a large share of all files is spread over ``slots`` tasks. A key keeps
-its stored files, the listings that are open with what they have shown so far, and
-nothing else; a batch reads and writes the state of its own rows only, and neither a
+A folder has slots; a slot takes the paths whose hash falls to it, so a folder that holds
+a large share of all files is spread over ``slots`` tasks. The key of the state is a group of
+folder slots, by hash: calls to the store cost far more than the rows in them, so a batch
+reads and writes the stored files of a group in one call each. A group keeps its slots'
+stored files, the listings that are open with what they have shown so far, and
+nothing else; a batch reads and writes the groups of its own rows only, and neither a
 base snapshot nor a log is scanned. State and progress are kept by the stream's checkpoint, so a
 restart goes on where the last batch ended.
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import islice
 from typing import Any
 
 from pyspark import cloudpickle
@@ -44,12 +47,25 @@ CHANGES = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("status", T.StringType()),
     T.StructField("last_modified_ms", T.LongType()), T.StructField("size", T.LongType()),
 ])
-_PATH = T.StructType([T.StructField("path", T.StringType())])
-_FILE = T.StructType([T.StructField("last_modified_ms", T.LongType()), T.StructField("size", T.LongType())])
-#: One entry per open listing: its id, number of files (-1: not known yet), the paths shown, and its start.
-_OPEN = T.StructType([T.StructField("listings", T.ArrayType(T.StructType([
-    T.StructField("listing", T.StringType()), T.StructField("entries", T.LongType()),
-    T.StructField("shown", T.ArrayType(T.StringType())), T.StructField("since", T.LongType())])))])
+def _lists(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in kinds.items()])
+
+
+_TEXT, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
+# Lists side by side: a list of structs would be read and written field by field.
+#: Folder slots with the number of their files, and these files.
+_FILES = _lists(parents=_TEXT, slots=_INT, counts=_INT, paths=_TEXT, times=_LONG, sizes=_LONG)
+#: Open listings: folder slot, id, number of files (-1: not known yet), start and number of paths shown, and these paths.
+_OPEN = _lists(parents=_TEXT, slots=_INT, listings=_TEXT, entries=_LONG, starts=_LONG, counts=_INT, shown=_TEXT)
+#: Columns of the rows in their order; the group comes behind them.
+_COLUMNS = ["path", "parent", "slot", "last_modified_ms", "size", "entries", "listing", "verdict"]
+_UNREADABLE, _REFUSED, _KEPT = 0, 1, 2
+_STORED = ["parent", "slot", "path", "last_modified_ms", "size"]
+_CHANGE = Row(*CHANGES.names)
+
+Slot = tuple[str, int]
+Files = dict[str, tuple[int, int]]
+Open = dict[str, tuple[int, set[str], int]]
 
 
 def slot_of(path: Column | str, slots: int) -> Column:
@@ -57,90 +73,134 @@ def slot_of(path: Column | str, slots: int) -> Column:
 
 
 class FolderProcessor(StatefulProcessor):
-    """Compares the rows of one folder slot with its stored files."""
+    """Compares the rows of a group of folder slots with their stored files."""
 
     def __init__(self, expire_ms: int | None) -> None:
         self.expire_ms = expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.files = handle.getMapState("files", _PATH, _FILE)
+        self.files = handle.getValueState("files", _FILES)
         self.open = handle.getValueState("open", _OPEN)
 
     def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
-        self.files.updateValue((initialState["path"],), (initialState["last_modified_ms"], initialState["size"]))
+        stored: dict[Slot, Files] = {}
+        for parent, slot, path, ms, size in zip(*(initialState[c] for c in _STORED), strict=True):
+            stored.setdefault((parent, slot), {})[path] = (ms, size)
+        self._keep_files(stored)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        newest: dict[str, Row] = {}
-        shown: dict[str, set[str]] = {}
-        entries: dict[str, int] = {}
+        newest: dict[Slot, dict[str, tuple]] = {}
+        shown: dict[Slot, dict[str, set[str]]] = {}
+        entries: dict[tuple[Slot, str], int] = {}
         for row in rows:
-            listing = row["listing"] or ""
-            mine = shown.setdefault(listing, set())
-            if row["is_dir"]:
-                entries[listing] = max(row["entries"], entries.get(listing, 0))
-                continue
-            mine.add(row["path"])
-            other = newest.get(row["path"])
-            if other is None or (other["last_modified_ms"], other["size"]) < (row["last_modified_ms"], row["size"]):
-                newest[row["path"]] = row
-        known = self._open_listings()
-        complete, changed = False, False
-        for listing, mine in shown.items():
-            total, before, since = known.get(listing, (-1, set(), None))
-            total, mine = max(total, entries.get(listing, -1)), mine | before
-            shown[listing] = mine
-            if 0 <= total <= len(mine):
-                complete = True
-                changed |= known.pop(listing, None) is not None
+            path, parent, slot, ms, size, number, listing, verdict = row[:len(_COLUMNS)]
+            place, listing = (parent, slot), listing or ""
+            mine = shown.setdefault(place, {}).setdefault(listing, set())
+            if number is not None:
+                entries[place, listing] = max(number, entries.get((place, listing), 0))
                 continue
-            if since is None:
-                since = timerValues.getCurrentProcessingTimeInMs() if self.expire_ms else 0
-                if self.expire_ms:
-                    self.handle.registerTimer(since + self.expire_ms)
-            known[listing] = (total, mine, since)
-            changed = True
-        stored = {p: self.files.getValue((p,)) for p in newest}
-        gone = []
-        if complete:  # what was stored before this batch, and neither a settled nor an open listing has shown
-            alive = set().union(*shown.values(), *(k[1] for k in known.values()))
-            gone = [(r[0][0], r[1]) for r in self.files.iterator() if r[0][0] not in alive]
-        for path, row in newest.items():
-            yield from self._judge(path, row, stored[path])
-        for path, old in gone:
-            self.files.removeKey((path,))
-            yield Row(path=path, status=DELETE, last_modified_ms=old[0], size=old[1])
+            mine.add(path)
+            files = newest.setdefault(place, {})
+            other = files.get(path)
+            if other is None or other[:2] < (ms, size):
+                files[path] = (ms, size, verdict)
+        every, known = self._stored_files(), self._open_listings()
+        touched, changed, opened = False, False, False
+        for place, listings in shown.items():
+            mine, stored = known.setdefault(place, {}), every.setdefault(place, {})
+            complete = False
+            for listing, paths in listings.items():
+                total, before, since = mine.get(listing, (-1, set(), None))
+                total, paths = max(total, entries.get((place, listing), -1)), paths | before
+                listings[listing] = paths
+                if 0 <= total <= len(paths):
+                    complete = True
+                    changed |= mine.pop(listing, None) is not None
+                    continue
+                if since is None:
+                    since = timerValues.getCurrentProcessingTimeInMs() if self.expire_ms else 0
+                    opened = True
+                mine[listing] = (total, paths, since)
+                changed = True
+            gone = []
+            if complete:  # what was stored before this batch, and neither a settled nor an open listing has shown
+                alive = set().union(*listings.values(), *(k[1] for k in mine.values()))
+                gone = [(path, old) for path, old in stored.items() if path not in alive]
+            for path, row in newest.get(place, {}).items():
+                for change in self._judge(path, row, stored):
+                    touched = True
+                    yield change
+            for path, old in gone:
+                del stored[path]
+                touched = True
+                yield _CHANGE(path, DELETE, *old)
+        if opened and self.expire_ms:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expire_ms)
+        if touched:
+            self._keep_files(every)
         if changed:
             self._keep_open(known)
 
-    def _open_listings(self) -> dict[str, tuple[int, set[str], int]]:
-        state = self.open.get()
-        return {r[0]: (r[1], set(r[2]), r[3]) for r in state[0]} if state else {}
-
-    def _keep_open(self, listings: dict[str, tuple[int, set[str], int]]) -> None:
-        if listings:
-            self.open.update(([(k, total, sorted(mine), since) for k, (total, mine, since) in listings.items()],))
-        else:
+    def _stored_files(self) -> dict[Slot, Files]:
+        state = self.files.get()
+        if not state:
+            return {}
+        parents, slots, counts, *columns = state
+        files = zip(*columns, strict=True)
+        return {
+            place: {path: (ms, size) for path, ms, size in islice(files, n)}
+            for *place, n in zip(parents, slots, counts, strict=True) for place in [tuple(place)]}
+
+    def _keep_files(self, stored: dict[Slot, Files]) -> None:
+        places = [place for place, files in stored.items() if files]
+        if not places:
+            self.files.clear()
+            return
+        every = [(path, *old) for place in places for path, old in stored[place].items()]
+        self.files.update((
+            [p for p, _ in places], [s for _, s in places], [len(stored[place]) for place in places],
+            *([f[i] for f in every] for i in range(3))))
+
+    def _open_listings(self) -> dict[Slot, Open]:
+        state, known = self.open.get(), {}
+        if state:
+            *columns, shown = state
+            paths = iter(shown)
+            for parent, slot, listing, total, since, n in zip(*columns, strict=True):
+                known.setdefault((parent, slot), {})[listing] = (total, set(islice(paths, n)), since)
+        return known
+
+    def _keep_open(self, known: dict[Slot, Open]) -> None:
+        rows = [(*place, listing, *k) for place, mine in known.items() for listing, k in mine.items()]
+        if not rows:
             self.open.clear()
-
-    def _judge(self, path: str, row: Row, old: tuple | None) -> Iterator[Row]:
-        if not row["readable"]:
             return
-        if not row["kept"]:
+        self.open.update((
+            *([r[i] for r in rows] for i in range(4)), [r[5] for r in rows], [len(r[4]) for r in rows],
+            [path for r in rows for path in r[4]]))
+
+    def _judge(self, path: str, row: tuple, stored: Files) -> Iterator[Row]:
+        ms, size, verdict = row
+        old = stored.get(path)
+        if verdict == _UNREADABLE:
+            return
+        if verdict == _REFUSED:
             if old is not None:
-                self.files.removeKey((path,))
-                yield Row(path=path, status=DELETE, last_modified_ms=old[0], size=old[1])
+                del stored[path]
+                yield _CHANGE(path, DELETE, *old)
             return
-        new = (row["last_modified_ms"], row["size"])
         # Whole seconds, rounded down like the other comparisons.
-        if old is not None and not old[0] // 1000 < new[0] // 1000:
+        if old is not None and not old[0] // 1000 < ms // 1000:
             return
-        self.files.updateValue((path,), new)
-        yield Row(path=path, status=INSERT if old is None else UPDATE, last_modified_ms=new[0], size=new[1])
+        stored[path] = (ms, size)
+        yield _CHANGE(path, INSERT if old is None else UPDATE, ms, size)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        due, known = expiredTimerInfo.getExpiryTimeInMs(), self._open_listings()
-        self._keep_open({k: v for k, v in known.items() if v[2] + self.expire_ms > due})
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        self._keep_open({
+            place: {k: v for k, v in mine.items() if v[2] + self.expire_ms > due}
+            for place, mine in self._open_listings().items()})
         return iter([])
 
     def close(self) -> None:
@@ -172,11 +232,15 @@ def in_slots(files: DataFrame, listing: str, slots: int = 1, folders: DataFrame
 class FolderState:
     """An inventory kept by a stream with keyed state, its changes in a table beside it.
 
-    ``slots`` and the session's number of shuffle partitions are fixed by the first start.
+    ``slots``, ``groups`` and the session's number of shuffle partitions are fixed by the first start.
+    A batch that lists one file reads and writes its group: take more groups for small batches over
+    very many files, and more slots if a folder's files do not fit in a task.
     """
 
-    def __init__(self, spark: SparkSession, root: str, slots: int = 1, expire_ms: int | None = None) -> None:
-        self.spark, self.slots, self.expire_ms = spark, slots, expire_ms
+    def __init__(
+        self, spark: SparkSession, root: str, slots: int = 1, expire_ms: int | None = None, groups: int = 16_384,
+    ) -> None:
+        self.spark, self.slots, self.expire_ms, self.groups = spark, slots, expire_ms, groups
         root = root.rstrip("/")
         self.checkpoint, self.changes_path = f"{root}/checkpoint", f"{root}/changes"
 
@@ -194,14 +258,16 @@ class FolderState:
         rows = source.where(
             F.col("path").isNotNull() & F.col("parent").isNotNull() & (~F.col("is_dir") | F.col("entries").isNotNull())
         ).select(
-            "path", "parent", "slot", "is_dir", "last_modified_ms", "size", "entries", "listing",
-            flag.alias("readable"), F.coalesce((rules or PathRules()).keeps_entry(), F.lit(False)).alias("kept"))
+            "path", "parent", "slot", "last_modified_ms", "size", F.when(F.col("is_dir"), F.col("entries")).alias("entries"), "listing",
+            F.when(~flag, _UNREADABLE).when((rules or PathRules()).keeps_entry(), _KEPT).otherwise(_REFUSED).alias("verdict"))
+        group = F.pmod(F.xxhash64("parent", "slot"), F.lit(self.groups)).cast("int").alias("group")
         base = None
         if stored is not None:
             base = stored.where(~F.col("is_dir")).select(
-                "path", parent_folder("path").alias("parent"), slot_of("path", self.slots).alias("slot"), "last_modified_ms", "size"
-            ).groupBy("parent", "slot")
-        changes = rows.groupBy("parent", "slot").transformWithState(
+                parent_folder("path").alias("parent"), slot_of("path", self.slots).alias("slot"), "path", "last_modified_ms", "size"
+            ).groupBy(group).agg(F.collect_list(F.struct(*_STORED)).alias("f")).select(
+                "group", *[F.col(f"f.{c}").alias(c) for c in _STORED]).groupBy("group")
+        changes = rows.select(*_COLUMNS, group).groupBy("group").transformWithState(
             statefulProcessor=FolderProcessor(self.expire_ms), outputStructType=CHANGES, outputMode="Append",
             timeMode="ProcessingTime" if self.expire_ms else "None", initialState=base)
         trigger = {"processingTime": interval} if interval else {"availableNow": True}
@@ -220,10 +286,10 @@ class FolderState:
     def read(self) -> DataFrame:
         """The stored files after the last whole batch, from the state store itself."""
         state = self.spark.read.format("statestore").option("path", self.checkpoint).option("stateVarName", "files").load()
-        value = F.col("user_map_value")
-        return as_inventory(state.select(
-            F.col("user_map_key")["path"].alias("path"), value["last_modified_ms"].alias("last_modified_ms"),
-            value["size"].alias("size")))
+        value = F.col("value")
+        zipped = F.arrays_zip(
+            value["paths"].alias("path"), value["times"].alias("last_modified_ms"), value["sizes"].alias("size"))
+        return as_inventory(state.select(F.inline(zipped)))
 
     def changes(self) -> DataFrame:
         """All changes given out so far."""
