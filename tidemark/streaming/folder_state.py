@@ -265,7 +265,7 @@ class FolderState:
         if stored is not None:
             base = stored.where(~F.col("is_dir")).select(
                 parent_folder("path").alias("parent"), slot_of("path", self.slots).alias("slot"), "path", "last_modified_ms", "size"
-            ).groupBy(group).agg(F.collect_list(F.struct(*_STORED)).alias("f")).select(
+            ).groupBy(group).agg(F.sort_array(F.collect_list(F.struct(*_STORED))).alias("f")).select(  # of one path the newest last
                 "group", *[F.col(f"f.{c}").alias(c) for c in _STORED]).groupBy("group")
         changes = rows.select(*_COLUMNS, group).groupBy("group").transformWithState(
             statefulProcessor=FolderProcessor(self.expire_ms), outputStructType=CHANGES, outputMode="Append",
