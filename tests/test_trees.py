@@ -75,3 +75,21 @@ def test_a_large_batch_sorts_no_more_than_a_small_range(spark):
     assert "TakeOrdered" not in batch._jdf.queryExecution().executedPlan().toString()
     assert batch.agg(F.max("mark"), F.count("mark")).first() == (20_010, 20_000)
     assert incremental.batch_cut(df.limit(0), "mark", 0, 20_000) is None
+
+
+def test_rows_at_their_top_are_not_written_again(spark, monkeypatch):
+    frame, written = type(spark.range(1)), []
+    checkpoint = frame.checkpoint
+
+    def counted(df, *args):
+        made = checkpoint(df, *args)
+        written.append(made.count())
+        return made
+
+    monkeypatch.setattr(frame, "checkpoint", counted)
+    rows = [(i, i - 1 if 1 < i <= 64 else None, "n") for i in range(1, 1001)]
+    got = {r.id: r for r in chains.chains(spark.createDataFrame(rows, "id long, parent long, name string")).collect()}
+    assert {i: (r.root, r.depth, len(r.path)) for i, r in got.items()} == {
+        i: (1, i - 1, i) if i <= 64 else (i, 0, 1) for i in range(1, 1001)}
+    # The start, the first state of both passes, and then only the rows of the chain.
+    assert [n for n in written if n > 63] == [1000] * 3

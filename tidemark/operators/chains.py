@@ -4,11 +4,13 @@ Every row knows how far up it has come; a round lets it jump as far again by wha
 points to knows, so a chain of a million rows takes twenty rounds. Only rows that are still
 under way are joined, each to the one row it points to. A first pass works on numbers
 alone and tells roots, orphans and cycles; paths are built in a second one, without the
-rows of cycles, whose paths would have no end. Each round is written by ``checkpoint()``.
+rows of cycles, whose paths would have no end. Each round writes the rows that it moved by ``checkpoint()``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,22 @@ def _starts(nodes: DataFrame, identifier: str, parent: str, name: str) -> DataFr
 def _climb(rows: DataFrame, carried: str, joined, limit: int | None) -> tuple[DataFrame, int]:
     """Rounds of doubling until no row has a ``jump``, or ``limit`` rounds; ``joined(mine, further)`` extends ``carried``."""
     checkpoint_root(rows.sparkSession)
+    names = rows.columns
     rows, rounds = rows.checkpoint(), 0
-    while limit is None or rounds < limit:
-        if rows.where("jump is not null").isEmpty():
-            break
-        up = rows.select(
+    ended, moving = [rows.where("jump is null")], rows.where("jump is not null")
+    while (limit is None or rounds < limit) and not moving.isEmpty():
+        every = reduce(DataFrame.unionByName, [*ended, moving])
+        up = every.select(
             F.col("id").alias("jump"), F.col("jump").alias("up_jump"), F.col("root").alias("up_root"),
             F.col("status").alias("up_status"), F.col(carried).alias("up_carried"))
-        moved = rows.where("jump is not null").drop("root", "status").join(up, "jump").select(
-            *[c for c in rows.columns if c not in ("jump", "root", "status", carried)],
+        moved = moving.drop("root", "status").join(up, "jump").select(
+            *[c for c in names if c not in ("jump", "root", "status", carried)],
             F.col("up_jump").alias("jump"), F.col("up_root").alias("root"), F.col("up_status").alias("status"),
-            joined(F.col(carried), F.col("up_carried")).alias(carried))
-        rows = rows.where("jump is null").unionByName(moved).checkpoint()
+            joined(F.col(carried), F.col("up_carried")).alias(carried)).select(*names).checkpoint()
+        # A row that has come to its top stays where it was written.
+        ended, moving = [*ended, moved.where("jump is null")], moved.where("jump is not null")
         rounds += 1
-    return rows, rounds
+    return reduce(DataFrame.unionByName, [*ended, moving]), rounds
 
 
 def chains(
