@@ -1,8 +1,11 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.catalog import QUERIES
+from tidemark.catalog import folders as folder_queries
 from tidemark.operators import inventory as inv
 from tidemark.operators.filters import PathRules
 from tidemark.streaming.index_stream import IndexTable, stream_actions
@@ -185,3 +188,10 @@ def test_task_messages_and_rejects(spark, tmp_path):
         stream_tasks(messages, out, str(tmp_path / "check")).awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(f"{out}/tasks").select("id", "level").collect()] == [("/a/", 0)]
     assert spark.read.parquet(f"{out}/rejects").select(F.count("*")).first()[0] == 4
+
+
+@pytest.mark.parametrize("name, batches", [("inventory_stream", 1), ("inventory_stream_batches", 3)])
+def test_a_listing_is_written_and_read_by_many_tasks(spark, tmp_path, monkeypatch, name, batches):
+    monkeypatch.setattr(folder_queries, "shared_dir", lambda _, label: f"{tmp_path}/{label}")
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(list((tmp_path / "inventory/listing").glob("part-*.parquet"))) > 4 * batches

@@ -140,19 +140,19 @@ def inventory_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_APPLIED_SQL)
 def inventory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same inventory kept by a stream of listings; vanished folders arrive as empty ones."""
-    base = shared_dir(spark, "inventory")
-    state = InventoryTable(spark, f"{base}/state")
-    state.start_from(_listing(spark, sf_dir, _DAY))
-    return _streamed(spark, sf_dir, base, state, 1)
+    return _streamed(spark, sf_dir, 1)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, base: str, state: InventoryTable, files: int) -> DataFrame:
-    """The inventory after a stream over the listing, one file of it a batch."""
-    now = _listing(spark, sf_dir)
+def _streamed(spark: SparkSession, sf_dir: str, batches: int) -> DataFrame:
+    """The inventory after a stream over the listing, which arrives in so many batches of several files."""
+    base = shared_dir(spark, "inventory")
+    state, (before, now) = InventoryTable(spark, f"{base}/state"), _listings(spark, sf_dir)
+    state.start_from(before)
     # Stored folders without a file now are listed as empty ones.
-    rows = inv.complete_listing(now, "1", inv.parent_folders(state.read()))
-    rows.repartition(files).write.parquet(f"{base}/listing")
-    listing = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/listing")
+    rows = inv.complete_listing(now, "1", inv.parent_folders(before))
+    files = spark.sparkContext.defaultParallelism
+    rows.repartition(batches * files, "path").write.parquet(f"{base}/listing")
+    listing = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/listing")
     stream_listings(listing, state, f"{base}/checkpoint", _RULES).awaitTermination()
     return state.read().select("path", "last_modified_ms", "size")
 
@@ -160,10 +160,7 @@ def _streamed(spark: SparkSession, sf_dir: str, base: str, state: InventoryTable
 @query(_APPLIED_SQL)
 def inventory_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, every folder's listing cut over three batches."""
-    base = shared_dir(spark, "inventory")
-    state = InventoryTable(spark, f"{base}/state")
-    state.start_from(_listing(spark, sf_dir, _DAY))
-    return _streamed(spark, sf_dir, base, state, 3)
+    return _streamed(spark, sf_dir, 3)
 
 
 @query(_APPLIED_SQL)

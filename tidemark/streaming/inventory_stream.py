@@ -73,12 +73,12 @@ class InventoryTable:
         seen = files.select("path", "parent", "listing").distinct()
         ends = listing.where(F.col("is_dir") & F.col("entries").isNotNull()).select(
             "path", F.col("path").alias("parent"), "listing", "entries")
-        touched = seen.select("parent").unionByName(ends.select("parent")).distinct()
+        touched = files.select("parent").unionByName(ends.select("parent")).distinct()
         base, log = self.table.snapshot((stream, batch_id), self.table.touched(touched))
         log = log.join(touched, "parent", "left_semi")
         stored = _files(base.join(touched, "parent", "left_semi"), log)
 
-        changed = inv.diff(stored.join(seen.select("path").distinct(), "path", "left_semi"), files, rules).where(
+        changed = inv.diff(stored.join(seen.select("path"), "path", "left_semi"), files, rules).where(
             F.col("status").isin(inv.INSERT, inv.UPDATE, inv.DELETE)
         ).withColumn("parent", parent_folder("path"))
 
@@ -93,7 +93,7 @@ class InventoryTable:
         )
         gone = (
             stored.join(complete.select("parent").distinct(), "parent", "left_semi")
-            .join(shown.select("path").distinct(), "path", "left_anti")
+            .join(shown.select("path"), "path", "left_anti")
             .select("path", "parent", "last_modified_ms", "size").withColumn("status", F.lit(inv.DELETE))
         )
         rows = (
